@@ -71,15 +71,3 @@ def with_share(counts: DataFrame, count: str, name: str = "pct") -> DataFrame:
     """
     total = counts.agg(F.sum(count)).scalar()
     return counts.withColumn(name, F.col(count).cast("double") * 100.0 / total)
-
-
-def top_keys(counts: DataFrame, key: str, count: str, k: int) -> DataFrame:
-    """The ``k`` keys with the highest total count; the null key does not take part."""
-    return (
-        counts.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.sum(count).alias("__total"))
-        .orderBy(F.desc("__total"), F.asc(key))
-        .limit(k)
-        .select(key)
-    )

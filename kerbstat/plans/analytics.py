@@ -16,7 +16,6 @@ from kerbstat.operators.grouping import (
     row_count,
     severe_count,
     severe_percent,
-    top_keys,
     with_share,
 )
 
@@ -272,16 +271,21 @@ def common_weather(df: DataFrame, *, limit: int | None = 10) -> DataFrame:
 def weather_by_severity(df: DataFrame, *, k: int = 8) -> DataFrame:
     """Counts per condition and severity for the ``k`` most common conditions.
 
-    The conditions are ranked on the aggregated counts, so the table is scanned once. The
-    ranked side holds at most ``k`` rows, which makes it safe to broadcast.
+    A condition's counts travel as one short list while the conditions are ranked, so the
+    table is scanned once and joined with nothing. A list has one entry per severity.
     """
-    counts = df.groupBy("weather_condition", "severity").agg(row_count().alias("count"))
-    common = top_keys(counts, "weather_condition", "count", k)
-    return (
-        counts.filter(F.col("severity").isNotNull())
-        .join(F.broadcast(common), "weather_condition", "left_semi")
-        .orderBy("weather_condition", "severity")
+    counts = (
+        df.filter(F.col("weather_condition").isNotNull())
+        .groupBy("weather_condition", "severity")
+        .agg(row_count().alias("count"))
+    )
+    common = (
+        counts.groupBy("weather_condition")
+        .agg(F.sum("count").alias("total"), F.collect_list(F.struct("severity", "count")).alias("levels"))
+        .orderBy(F.desc("total"), F.asc("weather_condition"))
+        .limit(k)
     )
+    return common.select("weather_condition", F.inline("levels")).filter(F.col("severity").isNotNull())
 
 
 # --- state map -----------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,21 +100,33 @@ def random_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
 
 
+def _reached_bucket(counts: DataFrame, rows: Column) -> Column:
+    """From counts per bucket: the last ``bucket`` that the first ``rows`` rows reach, and the rows ``before`` it."""
+    in_order = Window.orderBy("bucket")
+    return (
+        counts.filter(F.col("bucket").isNotNull())
+        .withColumn("before", F.sum("n").over(in_order) - F.col("n"))
+        .filter(F.col("before") < rows)
+        .agg(F.max(F.struct("bucket", "before")))
+        .scalar()
+    )
+
+
 def earliest_rows(df: DataFrame, rows: int, time: str = "start_time", tie: str = "id") -> DataFrame:
     """The first ``rows`` rows in time order; rows without a time come last.
 
     A plain sort with a large limit would send that many rows of every partition to one
-    task. So the rows are counted by day, and only the days that the sample reaches
-    into are sorted.
+    task. So rows are counted by day, and those of the day in which the sample ends by
+    second. Only rows up to that second are sorted. The running counts see one row per
+    day, and one per second of a day, whatever the size of the table.
     """
-    from pyspark.sql import Window
-
-    day = F.to_date(time)
-    per_day = df.groupBy(day.alias("day")).agg(F.count("*").alias("n"))
-    # One row per calendar day, whatever the size of the table.
-    in_order = Window.orderBy(F.asc_nulls_last("day"))
-    before = per_day.withColumn("before", F.sum("n").over(in_order) - F.col("n"))
-    last = before.filter((F.col("before") < rows) & F.col("day").isNotNull()).agg(F.max("day")).scalar()
-    dated = per_day.filter(F.col("day").isNotNull()).agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    reached = df.filter((day <= last) | (day.isNull() & (dated < rows)))
+    when, count = F.col(time), F.count("*").alias("n")
+    by_day = df.groupBy(F.to_date(when).alias("bucket")).agg(count)
+    last_day = _reached_bucket(by_day, F.lit(rows))
+    on_last_day = df.filter(F.to_date(when) == last_day["bucket"])
+    by_second = on_last_day.groupBy(F.date_trunc("second", when).alias("bucket")).agg(count)
+    last_second = _reached_bucket(by_second, F.lit(rows) - last_day["before"])
+    end = (last_second["bucket"] + F.expr("INTERVAL 1 SECOND")).cast(df.schema[time].dataType)
+    dated = by_day.filter(F.col("bucket").isNotNull()).agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    reached = df.filter((when < end) | (when.isNull() & (dated < rows)))
     return reached.orderBy(F.asc_nulls_last(time), F.asc_nulls_last(tie)).limit(rows)
