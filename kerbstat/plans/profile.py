@@ -54,7 +54,7 @@ def null_profile(df: DataFrame, *, only_missing: bool = True) -> DataFrame:
         df.columns,
         {"null_count": lambda c: F.count_if(c.isNull()), "total": lambda c: F.count("*")},
     )
-    pct = F.round(F.col("null_count").cast("double") / F.col("total") * 100.0, 2)
+    pct = F.round(F.try_divide(F.col("null_count").cast("double"), "total") * 100.0, 2)
     profile = counts.select("column_name", "null_count", pct.alias("null_pct"))
     if only_missing:
         profile = profile.filter(F.col("null_pct") > 0)

@@ -68,7 +68,7 @@ def rolling_severity(df: DataFrame, *, seconds: int = 15 * 60) -> DataFrame:
             "second",
             "accidents",
             "severe_accidents",
-            (F.col("severity_total").cast("double") / F.col("accidents")).alias("avg_severity"),
+            F.try_divide(F.col("severity_total").cast("double"), "accidents").alias("avg_severity"),
         )
     )
 

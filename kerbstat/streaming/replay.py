@@ -18,7 +18,11 @@ VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
 def with_end_marker(stream: DataFrame, **values: str) -> DataFrame:
-    """The stream followed by one row far in the future, so that its last windows close.
+    """The stream and one row far in the future, so that its last windows close.
+
+    For a stream that takes all its data in one micro-batch, which the marker joins; in
+    a stream of several, the marker would come in the first and make later rows late.
+    There it has to be the last file, as ``write_chunks`` makes it.
 
     The marker's own window never closes and so never comes out. Its columns are null but
     for ``values``, which lets it pass the filters of a query.
@@ -26,7 +30,7 @@ def with_end_marker(stream: DataFrame, **values: str) -> DataFrame:
     spark = stream.sparkSession
     folder = scratch_dir(spark, "end-of-stream")
     values = {"start_time": END_OF_STREAM, **values}
-    marker = spark.range(1).select(
+    marker = spark.range(0, 1, 1, 1).select(
         [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in stream.schema]
     )
     marker.write.parquet(folder)
@@ -40,11 +44,18 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def write_chunks(df: DataFrame, path: str, boundaries: list[dt.datetime], files_per_chunk: int = 1) -> None:
+def write_chunks(
+    df: DataFrame,
+    path: str,
+    boundaries: list[dt.datetime],
+    files_per_chunk: int = 1,
+    end_marker: bool = False,
+) -> None:
     """Store the dated rows as JSON messages, one job per time range, oldest first.
 
     A file stream reads files in the order of their age. So a reader that takes
     ``files_per_chunk`` files per micro-batch releases one time range after the other.
+    ``end_marker`` adds a last file whose one row closes all windows.
     """
     edges = [None, *boundaries, None]
     for low, high in zip(edges[:-1], edges[1:]):
@@ -55,6 +66,14 @@ def write_chunks(df: DataFrame, path: str, boundaries: list[dt.datetime], files_
             chunk = chunk.filter(F.col("start_time") < F.lit(high).cast("timestamp_ntz"))
         messages = to_messages(chunk).select("value").repartition(files_per_chunk)
         messages.write.mode("append").text(path)
+    if end_marker:
+        write_end_marker(df.sparkSession, path)
+
+
+def write_end_marker(spark: SparkSession, path: str) -> None:
+    """Add the row that closes all windows as the newest file of a replay folder."""
+    time = F.lit(END_OF_STREAM).cast("timestamp_ntz").alias("start_time")
+    to_messages(spark.range(0, 1, 1, 1).select(time), key="start_time").select("value").write.mode("append").text(path)
 
 
 def message_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
