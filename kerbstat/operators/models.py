@@ -19,15 +19,28 @@ CLASSES = (0, 1, 2, 3)
 # --- training ------------------------------------------------------------------------
 
 
-def train_forest(df: DataFrame, *, trees: int = 50, depth: int = 10, seed: int = 42) -> PipelineModel:
-    """Impute, assemble and fit a random forest on labelled accidents."""
+def _spread(frame: DataFrame, partitions: int | None) -> DataFrame:
+    return frame if partitions is None else frame.repartition(partitions)
+
+
+def train_forest(
+    df: DataFrame, *, trees: int = 50, depth: int = 10, seed: int = 42, partitions: int | None = None
+) -> PipelineModel:
+    """Impute, assemble and fit a random forest on labelled accidents.
+
+    Training runs as many tasks as the input has partitions. ``partitions`` spreads an
+    input that has fewer than there are cores, as one unsplittable file has.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
     frame = feat.labelled(feat.forest_frame(df)).select(*feat.FOREST_FEATURES, "label")
-    return Pipeline(stages=[feat.mean_imputer(), feat.assembler(feat.FOREST_FEATURES), forest]).fit(frame)
+    stages = [feat.mean_imputer(), feat.assembler(feat.FOREST_FEATURES), forest]
+    return Pipeline(stages=stages).fit(_spread(frame, partitions))
 
 
-def train_weighted_forest(df: DataFrame, *, trees: int = 100, depth: int = 20, seed: int = 42) -> PipelineModel:
+def train_weighted_forest(
+    df: DataFrame, *, trees: int = 100, depth: int = 20, seed: int = 42, partitions: int | None = None
+) -> PipelineModel:
     """A forest in which every class weighs the same.
 
     Trees grow to ``depth``; the library allows 30 at most.
@@ -36,7 +49,7 @@ def train_weighted_forest(df: DataFrame, *, trees: int = 100, depth: int = 20, s
     frame = feat.labelled(feat.weighted_frame(df)).select(*feat.WEIGHTED_FEATURES, "label")
     weighted = feat.with_class_weight(frame, feat.class_weights(frame))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight")
-    return Pipeline(stages=[feat.assembler(feat.WEIGHTED_FEATURES), forest]).fit(weighted)
+    return Pipeline(stages=[feat.assembler(feat.WEIGHTED_FEATURES), forest]).fit(_spread(weighted, partitions))
 
 
 def train_boosted(
@@ -49,6 +62,7 @@ def train_boosted(
     feature_fraction: float = 0.8,
     seed: int = 42,
     parallelism: int = 4,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Gradient-boosted trees, one binary model per class, in a single stored pipeline.
 
@@ -59,7 +73,7 @@ def train_boosted(
     ensure_checkpoint_dir(df.sparkSession)
     frame = feat.labelled(feat.boosted_frame(df))
     inputs = [f for f in feat.BOOSTED_FEATURES if f not in feat.CODES]
-    frame = frame.select(*inputs, *feat.CATEGORIES, "label")
+    frame = _spread(frame.select(*inputs, *feat.CATEGORIES, "label"), partitions)
     encoding = Pipeline(
         stages=[feat.category_encoder(), feat.plain_codes(), feat.assembler(feat.BOOSTED_FEATURES)]
     ).fit(frame)

@@ -50,17 +50,18 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return conform(spark.read.parquet(*paths))
 
 
-def write_parquet(df: DataFrame, path: str, by_year: bool = False, max_records_per_file: int = 0) -> None:
+def write_parquet(df: DataFrame, path: str, by_year: bool = False) -> None:
     """Store the table once in columnar form, so that later queries prune and push down.
 
-    ``by_year`` adds partition folders. Rows are not shuffled for it: a task writes one
-    file per year it holds, and a year that holds most rows stays spread over all tasks.
+    ``by_year`` adds partition folders. Rows are rebalanced by year first: adaptive
+    execution splits a year that holds most rows and joins small ones, so that files come
+    out near the advisory partition size instead of one per task and year.
     """
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-    if by_year:
-        df = df.withColumn("year", clock.calendar_year(F.col("start_time")))
-        writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).partitionBy("year")
-    writer.parquet(path)
+    if not by_year:
+        df.write.mode("overwrite").parquet(path)
+        return
+    dated = df.withColumn("year", clock.calendar_year(F.col("start_time")))
+    dated.hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
