@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,48 +36,50 @@ def stratified_split(
     seed: int = 42,
     key: str = "id",
     label: str = "label",
-    prefix_digits: int = 4,
+    prefix_digits: Sequence[int] = (3, 6),
 ) -> DataFrame:
     """Add ``split``: in each class, exactly ``floor(train_fraction x rows)`` rows are train.
 
     The rows of a class are ordered by the digest of their key, and the first ones train.
     A class may hold most of the table, so it is never sorted as one group:
 
-    1. rows are counted per class and digest prefix (16^prefix_digits counts at most per class);
-    2. the running count shows the one prefix in which the cut of the class falls;
-    3. only the rows of that prefix are ranked, which gives the last train digest of the class;
+    1. rows are counted per class and digest prefix, and the running count shows the one
+       prefix in which the cut of the class falls;
+    2. the rows of that prefix are counted by a longer prefix, which narrows the cut again;
+    3. what is left, one row in 16^6 of a class, is ranked, which gives its last train digest;
     4. every row compares its own digest with that of its class.
 
-    The table itself is not shuffled. The cuts reach the rows as one map with one entry
-    per class. Keys must be unique.
+    Each step hands the next one map with an entry per class, so the table is neither
+    shuffled nor joined. Keys must be unique.
     """
     digest = _digest(key, seed)
-    # Of the wide table, only the class and the key take part in finding the cuts.
-    keyed = df.select(F.col(label).alias("cls"), digest.alias("digest")).withColumn(
-        "prefix", F.substring("digest", 1, prefix_digits)
-    )
-    counts = keyed.groupBy("cls", "prefix").agg(F.count("*").alias("n"))
+    keyed = df.select(F.col(label).alias("cls"), digest.alias("digest"))
     by_class = Window.partitionBy("cls")
-    running = F.sum("n").over(by_class.orderBy("prefix"))
-    cut = F.floor(F.sum("n").over(by_class) * F.lit(float(train_fraction)))
-    cut_prefixes = (
-        counts.withColumns({"upto": running, "cut": cut})
-        .filter((F.col("cut") > F.col("upto") - F.col("n")) & (F.col("cut") <= F.col("upto")))
-        .select("cls", "prefix", (F.col("cut") - (F.col("upto") - F.col("n"))).alias("rank"))
-    )
-    # At most one row per class, so the join leaves the keyed rows in place.
-    candidates = keyed.join(F.broadcast(cut_prefixes), ["cls", "prefix"])
-    position = F.row_number().over(Window.partitionBy("cls", "prefix").orderBy("digest"))
-    last_train = (
-        candidates.withColumn("position", position)
-        .filter(F.col("position") == F.col("rank"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("cls", "digest"))))
-        .scalar()
-    )
+    rank = F.floor(F.sum("n").over(by_class) * F.lit(float(train_fraction)))
+    candidates = keyed
+    for digits in prefix_digits:
+        prefix = F.substring("digest", 1, digits)
+        counts = candidates.groupBy("cls", prefix.alias("prefix")).agg(F.count("*").alias("n"))
+        before = F.sum("n").over(by_class.orderBy("prefix")) - F.col("n")
+        reached = (
+            counts.withColumns({"before": before, "rank": rank})
+            .filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
+            .select("cls", F.struct("prefix", (F.col("rank") - F.col("before")).alias("rank")).alias("cut"))
+        )
+        cut = _by_class(reached, "cut")[F.col("cls")]
+        rank = cut["rank"]
+        candidates = keyed.filter(prefix == cut["prefix"])
+    position = F.row_number().over(by_class.orderBy("digest"))
+    last_train = _by_class(candidates.withColumn("position", position).filter(F.col("position") == rank), "digest")
     in_train = digest <= last_train[F.col(label)]
     return df.withColumn("split", F.when(in_train, TRAIN).otherwise(TEST))
 
 
+def _by_class(df: DataFrame, value: str) -> Column:
+    """A scalar map from class to value; ``df`` has one row per class."""
+    return df.agg(F.map_from_entries(F.collect_list(F.struct("cls", value)))).scalar()
+
+
 def split_frames(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The two sides of a frame with a ``split`` column."""
     side = F.col("split")

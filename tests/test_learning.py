@@ -40,7 +40,7 @@ def test_stratified_split_is_exact_per_class(accidents):
         assert [r.train for r in counts] == [math.floor(r.n * fraction) for r in counts]
 
 
-@pytest.mark.parametrize("digits", [1, 2, 6])
+@pytest.mark.parametrize("digits", [(1,), (2,), (1, 2, 3), (6,)])
 def test_stratified_split_does_not_depend_on_prefix_or_layout(accidents, digits):
     labelled = features.labelled(accidents)
     expected = sorted(map(tuple, splits.stratified_split(labelled).select("id", "split").collect()))
