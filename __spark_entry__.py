@@ -343,20 +343,14 @@ SELECT 'A-' || CAST(e.event_id AS STRING) AS id,
 FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 
-_SEVERE = "SUM(CASE WHEN severity >= 3 THEN 1 ELSE 0 END)"
-_DAY = (
-    "CASE dayofweek(start_time) WHEN 0 THEN 'Sunday' WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday' "
-    "WHEN 3 THEN 'Wednesday' WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday' WHEN 6 THEN 'Saturday' END"
-)
+_SEVERE = "COUNT(*) FILTER (WHERE severity >= 3)"
+_DAY = "dayname(start_time)"
 _BAND = (
-    "CASE WHEN hour(start_time) BETWEEN 6 AND 9 THEN 'Morning Rush' "
-    "WHEN hour(start_time) BETWEEN 10 AND 15 THEN 'Midday' "
-    "WHEN hour(start_time) BETWEEN 16 AND 19 THEN 'Evening Rush' ELSE 'Night' END"
-)
-_PERIOD = (
-    "CASE WHEN hour(start_time) BETWEEN 7 AND 9 OR hour(start_time) BETWEEN 16 AND 18 "
-    "THEN 'Rush Hour' ELSE 'Off Peak' END"
+    "CASE WHEN hour(start_time) IN (6, 7, 8, 9) THEN 'Morning Rush' "
+    "WHEN hour(start_time) IN (10, 11, 12, 13, 14, 15) THEN 'Midday' "
+    "WHEN hour(start_time) IN (16, 17, 18, 19) THEN 'Evening Rush' ELSE 'Night' END"
 )
+_PERIOD = "CASE WHEN hour(start_time) IN (7, 8, 9, 16, 17, 18) THEN 'Rush Hour' ELSE 'Off Peak' END"
 _ROAD = (
     "CASE WHEN junction THEN 'Junction' ELSE 'No Junction' END || ' + ' || "
     "CASE WHEN traffic_signal THEN 'Signal' ELSE 'No Signal' END"
@@ -421,7 +415,7 @@ def _windows_sql(minutes: int, with_alerts: bool = True) -> str:
     return f"""{_PREDICTED}, timed AS (
       SELECT *, time_bucket(INTERVAL {minutes} MINUTE, start_time) AS w FROM predicted WHERE start_time IS NOT NULL)
      SELECT w AS window_start, w + INTERVAL {minutes} MINUTE AS window_end, state, COUNT(*) AS accidents,
-      ROUND(AVG(severity), 3) AS avg_severity, CAST({_SEVERE} AS BIGINT) AS severe_count{alert_count}
+      ROUND(AVG(severity), 3) AS avg_severity, {_SEVERE} AS severe_count{alert_count}
      FROM timed GROUP BY w, state"""
 
 
@@ -443,14 +437,14 @@ def oracle_sql() -> dict[str, str]:
     compound_order = "avg_severity DESC NULLS LAST, junction NULLS LAST, traffic_signal NULLS LAST, time_of_day"
     segments = (
         "SELECT street, city, state, COUNT(*) AS total_accidents, ROUND(AVG(severity), 3) AS avg_severity, "
-        f"MAX(severity) AS worst_severity, CAST({_SEVERE} AS BIGINT) AS serious_accidents FROM accidents "
+        f"MAX(severity) AS worst_severity, {_SEVERE} AS serious_accidents FROM accidents "
         "WHERE street IS NOT NULL GROUP BY street, city, state HAVING COUNT(*) > 5"
     )
     segments = _ranked(
         segments, "serious_accidents DESC, avg_severity DESC, street, city NULLS LAST, state NULLS LAST", 10
     )
     weather = (
-        f"SELECT weather_condition, COUNT(*) AS total_accidents, CAST({_SEVERE} AS BIGINT) AS high_severity_count, "
+        f"SELECT weather_condition, COUNT(*) AS total_accidents, {_SEVERE} AS high_severity_count, "
         f"ROUND({_SEVERE} * 1e2 / COUNT(*), 2) AS risk_index_pct, ROUND(AVG(severity), 3) AS avg_severity "
         "FROM accidents WHERE weather_condition IS NOT NULL GROUP BY weather_condition HAVING COUNT(*) > 1000"
     )
@@ -516,8 +510,8 @@ def oracle_sql() -> dict[str, str]:
         "severity_heatmap_dated": _ranked(heatmap.format(where="WHERE start_time IS NOT NULL"), heatmap_order, 10),
         "danger_score": _ranked(
             "SELECT state, COUNT(*) AS total_accidents, ROUND(AVG(severity), 3) AS avg_severity, "
-            f"CAST({_SEVERE} AS BIGINT) AS high_severity_count, "
-            f"ROUND(AVG(severity) * 4e-1 + {_SEVERE} * 1e0 / COUNT(*) * 6e-1, 4) AS danger_score "
+            f"{_SEVERE} AS high_severity_count, "
+            fXX
             "FROM accidents GROUP BY state HAVING COUNT(*) > 500",
             "danger_score DESC, state NULLS LAST",
             10,
@@ -547,7 +541,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "weather_severity": _ranked(
             "SELECT weather_condition, COUNT(*) AS total, ROUND(AVG(severity), 2) AS avg_severity, "
-            f"CAST({_SEVERE} AS BIGINT) AS high_severity_count FROM accidents WHERE weather_condition IS NOT NULL "
+            f"{_SEVERE} AS high_severity_count FROM accidents WHERE weather_condition IS NOT NULL "
             "GROUP BY weather_condition HAVING COUNT(*) > 1000",
             "avg_severity DESC, weather_condition",
             8,
@@ -730,7 +724,7 @@ def oracle_sql() -> dict[str, str]:
            SELECT *, UNNEST([0, 5, 10]) AS back FROM accidents WHERE start_time IS NOT NULL AND street IS NOT NULL),
           windows AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, start_time) - to_minutes(back) AS w FROM starts)
          SELECT w AS window_start, w + INTERVAL 15 MINUTE AS window_end, street, city, state, COUNT(*) AS accidents,
-          ROUND(AVG(severity), 3) AS avg_severity, CAST({_SEVERE} AS BIGINT) AS severe_count
+          ROUND(AVG(severity), 3) AS avg_severity, {_SEVERE} AS severe_count
          FROM windows GROUP BY w, street, city, state""",
         "stream_csv_by_state": f", {_windows_sql(60, with_alerts=False)}",
         "stream_alerts": (

@@ -101,15 +101,14 @@ def random_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
 
 
-def _reached_bucket(counts: DataFrame, rows: Column) -> Column:
-    """From counts per bucket: the last ``bucket`` that the first ``rows`` rows reach, and the rows ``before`` it."""
+def _reached_bucket(counts: DataFrame, rows: Column) -> DataFrame:
+    """From counts per bucket, one row: the last ``bucket`` that the first ``rows`` rows reach, and the rows ``before`` it."""
     in_order = Window.orderBy("bucket")
     return (
         counts.filter(F.col("bucket").isNotNull())
         .withColumn("before", F.sum("n").over(in_order) - F.col("n"))
         .filter(F.col("before") < rows)
-        .agg(F.max(F.struct("bucket", "before")))
-        .scalar()
+        .agg(F.max(F.struct("bucket", "before")).alias("last"))
     )
 
 
@@ -123,11 +122,13 @@ def earliest_rows(df: DataFrame, rows: int, time: str = "start_time", tie: str =
     """
     when, count = F.col(time), F.count("*").alias("n")
     by_day = df.groupBy(F.to_date(when).alias("bucket")).agg(count)
-    last_day = _reached_bucket(by_day, F.lit(rows))
+    last_day = _reached_bucket(by_day, F.lit(rows)).scalar()
     on_last_day = df.filter(F.to_date(when) == last_day["bucket"])
     by_second = on_last_day.groupBy(F.date_trunc("second", when).alias("bucket")).agg(count)
     last_second = _reached_bucket(by_second, F.lit(rows) - last_day["before"])
-    end = (last_second["bucket"] + F.expr("INTERVAL 1 SECOND")).cast(df.schema[time].dataType)
+    # The end is a bare subquery, which the file scan can take as a bound.
+    after = F.col("last.bucket") + F.expr("INTERVAL 1 SECOND")
+    end = last_second.select(after.cast(df.schema[time].dataType)).scalar()
     dated = by_day.filter(F.col("bucket").isNotNull()).agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     reached = df.filter((when < end) | (when.isNull() & (dated < rows)))
     return reached.orderBy(F.asc_nulls_last(time), F.asc_nulls_last(tie)).limit(rows)

@@ -139,3 +139,9 @@ def test_topics_and_keys(make):
     per_state = messages.to_messages(df, key="state", topic_per_state=True).collect()
     assert [r.topic for r in per_state] == ["traffic-accidents-NEW_YORK", "traffic-accidents-unknown"]
     assert per_state[0].key == "NEW YORK" and json.loads(per_state[0].value)["id"] == "A-1"
+
+
+def test_kafka_calls_fail_only_for_want_of_the_connector(spark, small):
+    for call in (lambda: messages.kafka_stream(spark, max_offsets=10), lambda: messages.publish(small)):
+        with pytest.raises(Exception, match="(?i)kafka"):
+            call()
