@@ -511,7 +511,7 @@ def oracle_sql() -> dict[str, str]:
         "danger_score": _ranked(
             "SELECT state, COUNT(*) AS total_accidents, ROUND(AVG(severity), 3) AS avg_severity, "
             f"{_SEVERE} AS high_severity_count, "
-            fXX
+            f"ROUND(AVG(severity) * 4e-1 + CAST({_SEVERE} AS DOUBLE) / COUNT(*) * 6e-1, 4) AS danger_score "
             "FROM accidents GROUP BY state HAVING COUNT(*) > 500",
             "danger_score DESC, state NULLS LAST",
             10,
