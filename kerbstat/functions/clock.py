@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ NIGHT = "Night"
 RUSH_HOURS = ((7, 9), (16, 18))
 
 
+def moment(time: dt.datetime) -> Column:
+    """A zone-less literal; ``lit`` of a datetime would read it in the session time zone."""
+    return F.lit(time.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def lenient_timestamp(text: Column) -> Column:
     """Parse a zone-less timestamp; text that is no timestamp becomes null."""
     return text.try_cast("timestamp_ntz")
@@ -67,3 +74,19 @@ def rush_period(time: Column) -> Column:
     hour = F.hour(time)
     (a, b), (c, d) = RUSH_HOURS
     return F.when(hour.between(a, b) | hour.between(c, d), F.lit("Rush Hour")).otherwise(F.lit("Off Peak"))
+
+
+def epoch_seconds(time: Column) -> Column:
+    """Whole seconds from 1970-01-01 on the clock the time was read from, in any session time zone."""
+    days = F.unix_date(F.to_date(time)).cast("bigint")
+    return days * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+
+
+def as_instant(time: Column) -> Column:
+    """The TIMESTAMP, to the second, that reads the same in UTC; a cast would depend on the session time zone."""
+    return F.timestamp_seconds(epoch_seconds(time))
+
+
+def from_instant(instant: Column) -> Column:
+    """The zone-less time that ``as_instant`` came from."""
+    return moment(dt.datetime(1970, 1, 1)) + F.make_dt_interval(secs=F.unix_seconds(instant))

@@ -5,6 +5,8 @@ Thresholds and limits are arguments; their defaults are the published ones.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -254,8 +256,7 @@ def by_hour(df: DataFrame, *, require_time: bool = False) -> DataFrame:
 
 def by_year(df: DataFrame, *, first: int = 2016, last: int = 2023) -> DataFrame:
     """Accidents per year. The years become a time range, which reaches the file scan."""
-    start = F.make_timestamp_ntz(*[F.lit(x) for x in (first, 1, 1, 0, 0, 0)])
-    end = F.make_timestamp_ntz(*[F.lit(x) for x in (last + 1, 1, 1, 0, 0, 0)])
+    start, end = (clock.moment(dt.datetime(year, 1, 1)) for year in (first, last + 1))
     in_range = df.filter((F.col(TIME) >= start) & (F.col(TIME) < end))
     return grouped(in_range, {"year": clock.calendar_year(F.col(TIME))}, {"count": row_count()})
 

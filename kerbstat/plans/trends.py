@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbstat.functions import clock
 from kerbstat.functions.flags import severe_flag
 from kerbstat.operators.grouping import row_count, severe_count
 
@@ -36,10 +37,9 @@ def rolling_severity(df: DataFrame, *, seconds: int = 15 * 60) -> DataFrame:
     seconds that the next day's first windows look back on are copied to that day. A group then
     holds at most one day's seconds plus one window length, and the result is exact.
     """
-    epoch = F.unix_seconds(F.col("start_time").cast("timestamp"))
     per_second = (
         df.filter(F.col("start_time").isNotNull() & F.col("street").isNotNull())
-        .groupBy(*SEGMENT, epoch.alias("second"))
+        .groupBy(*SEGMENT, clock.epoch_seconds(F.col("start_time")).alias("second"))
         .agg(
             F.count("severity").alias("n"),
             F.sum("severity").alias("total"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbstat.functions import clock
 from kerbstat.session import scratch_dir
 from kerbstat.sources.messages import to_messages
 from kerbstat.streaming.sinks import write_parquet_stream
@@ -29,9 +30,9 @@ def with_end_marker(stream: DataFrame, **values: str) -> DataFrame:
     """
     spark = stream.sparkSession
     folder = scratch_dir(spark, "end-of-stream")
-    values = {"start_time": END_OF_STREAM, **values}
+    known = {"start_time": clock.moment(END_OF_STREAM), **{k: F.lit(v) for k, v in values.items()}}
     marker = spark.range(0, 1, 1, 1).select(
-        [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in stream.schema]
+        [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in stream.schema]
     )
     marker.write.parquet(folder)
     return stream.unionByName(spark.readStream.schema(marker.schema).parquet(folder))
@@ -61,9 +62,9 @@ def write_chunks(
     for low, high in zip(edges[:-1], edges[1:]):
         chunk = df.filter(F.col("start_time").isNotNull())
         if low is not None:
-            chunk = chunk.filter(F.col("start_time") >= F.lit(low).cast("timestamp_ntz"))
+            chunk = chunk.filter(F.col("start_time") >= clock.moment(low))
         if high is not None:
-            chunk = chunk.filter(F.col("start_time") < F.lit(high).cast("timestamp_ntz"))
+            chunk = chunk.filter(F.col("start_time") < clock.moment(high))
         messages = to_messages(chunk).select("value").repartition(files_per_chunk)
         messages.write.mode("append").text(path)
     if end_marker:
@@ -72,7 +73,7 @@ def write_chunks(
 
 def write_end_marker(spark: SparkSession, path: str) -> None:
     """Add the row that closes all windows as the newest file of a replay folder."""
-    time = F.lit(END_OF_STREAM).cast("timestamp_ntz").alias("start_time")
+    time = clock.moment(END_OF_STREAM).alias("start_time")
     to_messages(spark.range(0, 1, 1, 1).select(time), key="start_time").select("value").write.mode("append").text(path)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbstat.functions import clock
 from kerbstat.functions.flags import flag
 from kerbstat.operators.grouping import mean_severity, row_count, severe_count
 
@@ -18,7 +19,8 @@ ALERT_FROM = 3
 
 def event_time(df: DataFrame) -> DataFrame:
     """Rows that have a time, with the type that watermarks accept."""
-    return df.filter(F.col("start_time").isNotNull()).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    time = F.col("start_time")
+    return df.filter(time.isNotNull()).withColumn("start_time", clock.as_instant(time))
 
 
 def windowed_severity(
@@ -48,7 +50,7 @@ def windowed_severity(
         measures.append(F.sum(flag(F.col("predicted_severity") >= alert_from)).alias("alert_count"))
     windows = F.window("start_time", width, slide) if slide else F.window("start_time", width)
     grouped = timed.withWatermark("start_time", watermark).groupBy(windows.alias("window"), *keys).agg(*measures)
-    bounds = [F.col(f"window.{b}").cast("timestamp_ntz").alias(f"window_{b}") for b in ("start", "end")]
+    bounds = [clock.from_instant(F.col(f"window.{b}")).alias(f"window_{b}") for b in ("start", "end")]
     return grouped.select(*bounds, *[c for c in grouped.columns if c != "window"])
 
 

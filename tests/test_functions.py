@@ -16,7 +16,7 @@ def value(spark, column, **inputs):
     types = {dt.datetime: "timestamp_ntz", str: "string", int: "int", float: "double", bool: "boolean"}
     source = spark.range(1).select(
         *[
-            (F.lit(v).cast(types[type(v)]) if not isinstance(v, tuple) else F.lit(v[0]).cast(v[1])).alias(k)
+            (F.lit(str(v) if isinstance(v, dt.datetime) else v).cast(types[type(v)]) if not isinstance(v, tuple) else F.lit(v[0]).cast(v[1])).alias(k)
             for k, v in inputs.items()
         ]
         or ["id"]
@@ -54,6 +54,21 @@ def test_bands_include_both_ends(spark, hour, band, period):
     assert value(spark, clock.rush_period(F.col("t")), t=time) == period
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_instants_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # 02:30 does not exist in New York on that day
+        for time in (dt.datetime(2024, 3, 10, 2, 30, 5), dt.datetime(1969, 12, 31, 23, 59, 59)):
+            seconds = int(time.replace(tzinfo=dt.timezone.utc).timestamp())
+            assert value(spark, clock.epoch_seconds(F.col("t")), t=time) == seconds
+            back = clock.from_instant(clock.as_instant(F.col("t")))
+            assert value(spark, back, t=time) == time
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_missing_time(spark):
     missing = (None, "timestamp_ntz")
     assert value(spark, clock.time_band(F.col("t")), t=missing) == "Night"
