@@ -184,24 +184,24 @@ def _boosted_predictions_summary(df: DataFrame) -> DataFrame:
     return _summary(models.score_boosted(model, test))
 
 
-# --- streams: the event table read as a stream, results read back from the sink --------
+# --- streams: the accident table read as a stream, results read back from the sink --------
 
 
 def _stream_windows(width: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        events = replay.with_end_marker(driver_tables.accidents_stream(spark, folder))
+        events = replay.as_stream(driver_tables.accidents(spark, folder), end_marker={})
         return replay.run_to_table(windows.windowed_severity(alerts.scored(events), width), "windows")
 
     return run
 
 
 def _stream_rolling_segments(spark: SparkSession, folder: str) -> DataFrame:
-    events = replay.with_end_marker(driver_tables.accidents_stream(spark, folder), street="end of stream")
+    events = replay.as_stream(driver_tables.accidents(spark, folder), end_marker={"street": "end of stream"})
     return replay.run_to_table(windows.rolling_segments(events), "segments")
 
 
 def _stream_csv_by_state(spark: SparkSession, folder: str) -> DataFrame:
-    events = replay.with_end_marker(driver_tables.accidents_stream(spark, folder))
+    events = replay.as_stream(driver_tables.accidents(spark, folder), end_marker={})
     stream = windows.windowed_severity(events, "60 minutes")
     path = scratch_dir(spark, "by-state")
     sinks.write_csv_by_state(stream, path).awaitTermination()
@@ -209,7 +209,7 @@ def _stream_csv_by_state(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    stream = alerts.alerts(alerts.scored(driver_tables.accidents_stream(spark, folder))).select(
+    stream = alerts.alerts(alerts.scored(replay.as_stream(driver_tables.accidents(spark, folder)))).select(
         "id", "start_time", "state", "severity", "risk", "predicted_severity", "severity_label"
     )
     path = scratch_dir(spark, "alerts")
@@ -218,7 +218,7 @@ def _stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stored_scores(spark: SparkSession, folder: str) -> DataFrame:
-    stream = alerts.scored(driver_tables.accidents_stream(spark, folder))
+    stream = alerts.scored(replay.as_stream(driver_tables.accidents(spark, folder)))
     return replay.run_to_table(stream.select("id", "start_time", "state", "predicted_severity"), "scores")
 
 
@@ -231,8 +231,9 @@ def _stream_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_model_scores(spark: SparkSession, folder: str) -> DataFrame:
-    model = models.train_forest(driver_tables.accidents(spark, folder), trees=10, depth=5)
-    stream = alerts.scored(driver_tables.accidents_stream(spark, folder), model)
+    table = driver_tables.accidents(spark, folder)
+    model = models.train_forest(table, trees=10, depth=5)
+    stream = alerts.scored(replay.as_stream(table), model)
     return replay.run_to_table(stream.select("id", "start_time", "state", "predicted_severity"), "scores")
 
 

@@ -119,7 +119,7 @@ def load_model(path: str) -> PipelineModel | None:
 
 def _with_outcome(scored: DataFrame, probabilities: Column) -> DataFrame:
     """Probabilities by severity level, and the most likely severity (counted from 1)."""
-    named = {f"probability_s{c + 1}": F.get(F.col("__p"), F.lit(c)) for c in CLASSES}
+    named = {f"probability_s{c + 1}": F.coalesce(F.get(F.col("__p"), F.lit(c)), F.lit(0.0)) for c in CLASSES}
     best = F.array_position(F.col("__p"), F.array_max("__p"))
     return (
         scored.withColumn("__p", probabilities)

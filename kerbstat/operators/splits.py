@@ -25,8 +25,8 @@ def hash_split(
 ) -> tuple[DataFrame, DataFrame]:
     """A split by the digest of the key: no shuffle, no sort, and a lost task repeats it exactly."""
     digits = 8
-    cut = f"{min(int(train_fraction * 16**digits), 16**digits - 1):0{digits}x}"
-    in_train = F.substring(_digest(key, seed), 1, digits) < cut
+    cut = f"{int(train_fraction * 16**digits):0{digits}x}"
+    in_train = F.lit(True) if train_fraction >= 1 else F.substring(_digest(key, seed), 1, digits) < cut
     return df.filter(in_train), df.filter(~in_train)
 
 

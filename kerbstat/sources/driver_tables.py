@@ -22,9 +22,7 @@ def _missing_every(n: int, value: Column) -> Column:
 
 
 def accidents_from(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Works on batch and streaming ``events`` alike.
-
-    No join side is hinted: customers grow with the data, so Spark decides from the file
+    """No join side is hinted: customers grow with the data, so Spark decides from the file
     size whether one is small enough to broadcast, and splits skewed keys otherwise.
     """
     key, value = F.col("event_id"), F.col("value")
@@ -62,10 +60,3 @@ def _static(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def accidents(spark: SparkSession, folder: str) -> DataFrame:
     return accidents_from(*[_static(spark, folder, name) for name in ("events", "customer", "nation")])
-
-
-def accidents_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table with the events read as a stream; the places are static."""
-    # A file stream accepts a folder or a glob; the glob also matches a single file.
-    events = spark.readStream.schema(SCHEMAS["events"]).parquet(f"{folder}/events.parque[t]")
-    return accidents_from(events, _static(spark, folder, "customer"), _static(spark, folder, "nation"))

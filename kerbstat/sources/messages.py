@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +38,13 @@ def kafka_stream(
     return reader.load()
 
 
-def parse_messages(raw: DataFrame, schema: T.StructType = ACCIDENTS, value: str = "value") -> DataFrame:
+def parse_messages(
+    raw: DataFrame, schema: T.StructType = ACCIDENTS, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """Typed accidents from a JSON ``value`` column, batch or stream.
 
+    ``keep`` names columns of the message itself to carry along, such as ``offset``.
+
     A field that is absent is null. Text that is no JSON of this shape is kept in
     ``_malformed``, so no message is lost.
     """
@@ -48,7 +54,7 @@ def parse_messages(raw: DataFrame, schema: T.StructType = ACCIDENTS, value: str
         with_malformed,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED},
     )
-    return raw.select(parsed.alias("event")).select("event.*")
+    return raw.select(*keep, parsed.alias("event")).select(*keep, "event.*")
 
 
 def to_messages(

@@ -18,24 +18,25 @@ END_OF_STREAM = dt.datetime(9999, 1, 1)
 VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
-def with_end_marker(stream: DataFrame, **values: str) -> DataFrame:
-    """The stream and one row far in the future, so that its last windows close.
+def as_stream(table: DataFrame, end_marker: dict[str, str] | None = None) -> DataFrame:
+    """Store a table and read it back as a stream, all of it in one micro-batch.
 
-    For a stream that takes all its data in one micro-batch, which the marker joins; in
-    a stream of several, the marker would come in the first and make later rows late.
-    There it has to be the last file, as ``write_chunks`` makes it.
+    What the table is derived by (joins with skewed keys above all) thus runs as a batch
+    job, which adaptive execution tunes; stateful streams run without it.
 
-    The marker's own window never closes and so never comes out. Its columns are null but
-    for ``values``, which lets it pass the filters of a query.
+    ``end_marker`` adds one row far in the future, so that the last windows close. The
+    marker's own window never closes and so never comes out. Its columns are null but for
+    the given ones, which let it pass the filters of a query. A stream of several
+    micro-batches needs the marker as its newest file, as ``write_chunks`` makes it.
     """
-    spark = stream.sparkSession
-    folder = scratch_dir(spark, "end-of-stream")
-    known = {"start_time": clock.moment(END_OF_STREAM), **{k: F.lit(v) for k, v in values.items()}}
-    marker = spark.range(0, 1, 1, 1).select(
-        [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in stream.schema]
-    )
-    marker.write.parquet(folder)
-    return stream.unionByName(spark.readStream.schema(marker.schema).parquet(folder))
+    spark = table.sparkSession
+    folder = scratch_dir(spark, "stream")
+    table.write.parquet(folder)
+    if end_marker is not None:
+        known = {"start_time": clock.moment(END_OF_STREAM), **{k: F.lit(v) for k, v in end_marker.items()}}
+        columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]
+        spark.range(0, 1, 1, 1).select(columns).write.mode("append").parquet(folder)
+    return spark.readStream.schema(table.schema).parquet(folder)
 
 
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:

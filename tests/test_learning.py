@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from kerbstat.operators import evaluation, features, models, rules, splits
+from kerbstat.schema import ACCIDENTS
 
 
 @pytest.fixture(scope="module")
@@ -60,6 +62,24 @@ def test_hash_split_is_disjoint_complete_and_near_its_fraction(accidents, sides)
     assert abs(len(train) / 10000 - 0.8) < 0.02
 
 
+def test_hash_split_of_everything(small):
+    train, test = splits.hash_split(small, 1.0)
+    assert (train.count(), test.count()) == (small.count(), 0)
+
+
+def test_class_absent_from_training_has_probability_zero(make):
+    number = {f.name: 1.0 for f in ACCIDENTS if f.dataType.simpleString() == "double"}
+    rows = [{**number, "id": str(i), "severity": 1 + i % 2, "humidity_pct": float(i % 2),
+             "start_time": dt.datetime(2024, 1, 1), "junction": True, "crossing": True,
+             "traffic_signal": False} for i in range(40)]
+    df = make(rows)
+    for score, model in [(models.score_forest, models.train_forest(df, trees=3, depth=2)),
+                         (models.score_boosted, models.train_boosted(df, rounds=2, depth=2))]:
+        scored = score(model, df).collect()
+        assert {r.probability_s4 for r in scored} == {0.0}
+        assert sum(r.severity == r.predicted_severity for r in scored) > 30
+
+
 def test_random_split_covers_all_rows(small):
     train, test = splits.random_split(small)
     assert train.count() + test.count() == small.count()

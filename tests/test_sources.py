@@ -132,6 +132,12 @@ def test_messages_parse_bytes(spark):
     assert messages.parse_messages(raw).first().id == "A-1"
 
 
+def test_messages_carry_their_offset(spark):
+    raw = spark.createDataFrame([(7, '{"id": "A-1"}')], "offset bigint, value string")
+    row = messages.parse_messages(raw, keep=["offset"]).first()
+    assert (row.offset, row.id) == (7, "A-1")
+
+
 def test_topics_and_keys(make):
     df = make([{"id": "A-1", "state": "NEW YORK"}, {"id": "A-2"}])
     plain = messages.to_messages(df).collect()

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 
 from kerbstat.operators import models
 from kerbstat.session import scratch_dir, scratch_root
-from kerbstat.sources import driver_tables, messages
+from kerbstat.sources import messages
 from kerbstat.streaming import alerts, replay, sinks, windows
 
-SMALL = "/root/testdata/sf0.001"
-
 
 def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
@@ -58,13 +56,13 @@ def test_row_beyond_the_watermark_is_dropped(spark, make, tmp_path):
     assert found == {0: 2, 30: 2, 20: 1, 60: 1}
 
 
-def test_csv_folders_by_state(spark, tmp_path):
-    events = replay.with_end_marker(driver_tables.accidents_stream(spark, SMALL))
+def test_csv_folders_by_state(spark, small, tmp_path):
+    events = replay.as_stream(small, end_marker={})
     stream = windows.windowed_severity(events, "60 minutes")
     path = str(tmp_path / "by-state")
     sinks.write_csv_by_state(stream, path).awaitTermination()
     states = {d for d in os.listdir(path) if d.startswith("state=")}
-    batch = windows.windowed_severity(driver_tables.accidents(spark, SMALL), "60 minutes")
+    batch = windows.windowed_severity(small, "60 minutes")
     assert states == {f"state={r.state}" for r in batch.select("state").distinct().collect()}
     assert rows(sinks.read_csv_by_state(spark, path, stream.schema)) == rows(batch)
 
@@ -89,7 +87,7 @@ def test_alerts_and_threshold(spark, small):
 
 
 def test_running_totals_as_a_stream(spark, small):
-    stream = alerts.running_totals(alerts.scored(driver_tables.accidents_stream(spark, SMALL)))
+    stream = alerts.running_totals(alerts.scored(replay.as_stream(small)))
     query = (
         stream.writeStream.outputMode("complete").format("memory").queryName("totals")
         .option("checkpointLocation", scratch_dir(spark, "totals")).trigger(availableNow=True).start()
@@ -107,7 +105,7 @@ def test_latest_events_newest_first(small):
 
 def test_model_scores_a_stream(spark, small):
     model = models.train_forest(small, trees=3, depth=3)
-    stream = alerts.scored(driver_tables.accidents_stream(spark, SMALL), model)
+    stream = alerts.scored(replay.as_stream(small), model)
     streamed = replay.run_to_table(stream.select("id", "predicted_severity"), "test")
     assert rows(streamed) == rows(alerts.scored(small, model).select("id", "predicted_severity"))
 
