@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbstat.functions import clock, flags
+from kerbstat.operators.grouping import over_groups
 
 IMPUTED = (
     "temperature_f",
@@ -124,8 +125,7 @@ def impute_means(df: DataFrame) -> DataFrame:
 def class_weights(df: DataFrame) -> DataFrame:
     """Balanced weight of each class: rows / (classes x rows of the class)."""
     counts = df.groupBy("label").agg(F.count("*").alias("rows"))
-    total = counts.agg(F.sum("rows")).scalar()
-    classes = counts.agg(F.count("*")).scalar()
+    total, classes = over_groups(F.sum("rows")), over_groups(F.count("*"))
     return counts.withColumn("weight", total.cast("double") / (classes * F.col("rows")))
 
 

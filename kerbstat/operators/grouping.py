@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbstat.functions.flags import severe_flag
@@ -63,11 +63,17 @@ def grouped(
     return result if limit is None else result.limit(limit)
 
 
-def with_share(counts: DataFrame, count: str, name: str = "pct") -> DataFrame:
-    """Add the percentage that each row's count is of the total of all rows.
+def over_groups(measure: Column) -> Column:
+    """A total over already grouped rows, beside each of them.
 
-    The total is a scalar subquery over the same aggregate, whose shuffle Spark reuses;
-    a window without keys would pull all groups into one task.
+    The window has no keys, so all groups meet in one task: for keys with a small domain
+    (severities, states, weather conditions), one row each. The table itself is still scanned once;
+    a total as a subquery would scan it again wherever the two aggregates differ.
     """
-    total = counts.agg(F.sum(count)).scalar()
+    return measure.over(Window.partitionBy())
+
+
+def with_share(counts: DataFrame, count: str, name: str = "pct") -> DataFrame:
+    """Add the percentage that each group's count is of the total of all groups."""
+    total = over_groups(F.sum(count))
     return counts.withColumn(name, F.col(count).cast("double") * 100.0 / total)

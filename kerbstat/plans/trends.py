@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbstat.functions import clock
 from kerbstat.functions.flags import severe_flag
-from kerbstat.operators.grouping import row_count, severe_count
+from kerbstat.operators.grouping import over_groups, row_count, severe_count
 
 SEGMENT = ("street", "city", "state")
 DAY_SECONDS = 24 * 60 * 60
@@ -105,11 +105,17 @@ def weather_correlation(df: DataFrame) -> DataFrame:
         .groupBy("weather_condition")
         .agg(row_count().alias("accidents"), F.sum(severe).alias("severe_accidents"))
     )
-    n = counts.agg(F.sum("accidents").cast("double")).scalar()
-    s = counts.agg(F.sum("severe_accidents").cast("double")).scalar()
+    totals = {
+        "n": over_groups(F.sum("accidents")).cast("double"),
+        "s": over_groups(F.sum("severe_accidents")).cast("double"),
+    }
     a, b = F.col("accidents").cast("double"), F.col("severe_accidents").cast("double")
+    n, s = F.col("n"), F.col("s")
     spread = F.sqrt(a * (n - a)) * F.sqrt(s * (n - s))
-    return counts.withColumn("correlation", F.when(spread > 0, (n * b - a * s) / spread)).orderBy(
-        F.desc_nulls_last("correlation"), "weather_condition"
+    return (
+        counts.withColumns(totals)
+        .withColumn("correlation", F.when(spread > 0, (n * b - a * s) / spread))
+        .drop("n", "s")
+        .orderBy(F.desc_nulls_last("correlation"), "weather_condition")
     )
 

@@ -24,6 +24,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 def spark():
     session = local_session(8, memory="8g")
     session.sparkContext.setLogLevel("OFF")
+    session.conf.set("spark.sql.maxMetadataStringLength", 1000)  # whole schemas in plan texts
     yield session
     session.stop()
 

@@ -51,6 +51,10 @@ def test_no_cross_join_and_no_python(name, spark, folder, on_stored):
         ("weather_by_severity", {"severity", "weather_condition"}),
         ("road_segments", {"severity", "street", "city", "state"}),
         ("table_size", set()),
+        ("state_map", {"severity", "state"}),
+        ("severity_distribution", {"severity"}),
+        ("weather_correlation", {"severity", "weather_condition"}),
+        ("rule_class_report", {"severity", "start_time", "distance_mi", "humidity_pct", "visibility_mi", "wind_speed_mph"}),
         ("rolling_15m", {"severity", "start_time", "street", "city", "state"}),
         ("top_cities_severe", {"severity", "city", "state"}),
     ],
