@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbstat.functions import clock
+from kerbstat.operators.grouping import over_groups
 from kerbstat.schema import ACCIDENTS, TIME_FORMAT, canonical, header_name
 
 PREVIEW_COLUMNS = ("severity", "state", "temperature_f", "humidity_pct", "weather_condition", "distance_mi")
@@ -102,13 +103,16 @@ def random_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
 
 
 def _reached_bucket(counts: DataFrame, rows: Column) -> DataFrame:
-    """From counts per bucket, one row: the last ``bucket`` that the first ``rows`` rows reach, and the rows ``before`` it."""
-    in_order = Window.orderBy("bucket")
+    """From counts per bucket, one row with the ``last`` bucket that the first ``rows`` rows reach.
+
+    Beside the ``bucket``: how many rows come ``before`` it, and how many are in any bucket at all.
+    """
+    before = F.sum("n").over(Window.orderBy("bucket")) - F.col("n")
     return (
         counts.filter(F.col("bucket").isNotNull())
-        .withColumn("before", F.sum("n").over(in_order) - F.col("n"))
+        .withColumns({"before": before, "dated": over_groups(F.sum("n"))})
         .filter(F.col("before") < rows)
-        .agg(F.max(F.struct("bucket", "before")).alias("last"))
+        .agg(F.max(F.struct("bucket", "before", "dated")).alias("last"))
     )
 
 
@@ -129,6 +133,6 @@ def earliest_rows(df: DataFrame, rows: int, time: str = "start_time", tie: str =
     # The end is a bare subquery, which the file scan can take as a bound.
     after = F.col("last.bucket") + F.expr("INTERVAL 1 SECOND")
     end = last_second.select(after.cast(df.schema[time].dataType)).scalar()
-    dated = by_day.filter(F.col("bucket").isNotNull()).agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    dated = F.coalesce(last_day["dated"], F.lit(0))
     reached = df.filter((when < end) | (when.isNull() & (dated < rows)))
     return reached.orderBy(F.asc_nulls_last(time), F.asc_nulls_last(tie)).limit(rows)
