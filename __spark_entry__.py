@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The package lies beside this file, wherever the file is loaded from.
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from kerbstat.functions import clock, flags, labels, risk
 from kerbstat.operators import evaluation, features, models, rules, splits
 from kerbstat.plans import analytics, profile, reshaped, trends
@@ -478,7 +483,8 @@ def oracle_sql() -> dict[str, str]:
     )
     summary = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT({c}) AS count, ROUND(AVG({c}), 6) AS mean, "
-        f"ROUND(STDDEV_SAMP({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max FROM accidents"
+        f"ROUND(STDDEV_SAMP({c}), 6) AS stddev, ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS min, "
+        f"ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS max FROM accidents"
         for c in _SUMMARY
     )
     correlation = " UNION ALL ".join(

@@ -40,10 +40,14 @@ def class_report(counts: DataFrame) -> DataFrame:
     the few counts serves all columns.
     """
     hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
-    shares = F.array(
-        F.struct(F.col("label").alias("class"), F.col("count").alias("support"), F.lit(0).cast("bigint").alias("predicted"), hit.alias("hits")),
-        F.struct(F.col("prediction").alias("class"), F.lit(0).cast("bigint").alias("support"), F.col("count").alias("predicted"), F.lit(0).cast("bigint").alias("hits")),
-    )
+    none, count = F.lit(0).cast("bigint"), F.col("count")
+
+    def share(of: str, support: Column, predicted: Column, hits: Column) -> Column:
+        return F.struct(
+            F.col(of).alias("class"), support.alias("support"), predicted.alias("predicted"), hits.alias("hits")
+        )
+
+    shares = F.array(share("label", count, none, hit), share("prediction", none, count, none))
     per_class = (
         counts.select(F.inline(shares))
         .groupBy("class")
