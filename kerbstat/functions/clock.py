@@ -63,9 +63,10 @@ def weekday_name(time: Column, short: bool = False) -> Column:
 def time_band(time: Column) -> Column:
     """Name of the time-of-day band; a null time falls to Night."""
     hour = F.hour(time)
-    band = F
-    for name, (first, last) in TIME_BANDS.items():
-        band = band.when(hour.between(first, last), F.lit(name))
+    first, *others = TIME_BANDS
+    band = F.when(hour.between(*TIME_BANDS[first]), F.lit(first))
+    for name in others:
+        band = band.when(hour.between(*TIME_BANDS[name]), F.lit(name))
     return band.otherwise(F.lit(NIGHT))
 
 

@@ -23,10 +23,6 @@ SEVERITY_RESPONSES = {
     4: "Full Emergency Response",
 }
 
-ROAD_TYPES = tuple(
-    f"{j} + {s}" for j in ("Junction", "No Junction") for s in ("Signal", "No Signal")
-)
-
 
 def road_type(junction: Column, traffic_signal: Column) -> Column:
     """``Junction + No Signal`` and so on; a null flag reads as absent."""

@@ -56,8 +56,6 @@ HEADER_NAMES = {
 # Text form of times on output; the default of text formats keeps milliseconds only.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
-SEVERITY_LEVELS = (1, 2, 3, 4)
-
 
 def canonical(header: str) -> str:
     """``" Humidity(%) "`` -> ``humidity_pct``: trimmed, lower snake case, unit kept."""
