@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbstat.llm import bpe, langid, licenses, quality, toxicity, urls
+from kerbstat.llm import ann, bpe, decontaminate, langid, licenses, ngram_join, packing, quality, toxicity, urls
 from kerbstat.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
+PACKING_RANKS = "byte_bpe_50k.tiktoken"
 RULES = [  # verdict, host, path
     ("block", "net", "/"),
     ("allow", "example.net", "/en/"),
@@ -39,6 +41,15 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path(PACKING_RANKS), "rb") as file:
+        return packing.pack(table(spark, folder, "documents"), file.read(), public_tokenizers.PATTERN)
+
+
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = langid.learn(docs, ~held_out(docs["doc_id"], 3, 1))
@@ -58,19 +69,53 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 4, 2).alias("held_out"), "score", "predicted")
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.link_documents(table(spark, folder, "documents"), words=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_bpe": op2_bpe,
         "op3_licenses": op3_licenses,
+        "op4_packing": op4_packing,
+        "op5_neighbours": op5_neighbours,
         "op6_language": op6_language,
         "op7_urls": op7_urls,
         "op8_quality": op8_quality,
+        "op9_decontamination": op9_decontamination,
+        "op10_ngram_join": op10_ngram_join,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op7_urls": urls_sql()}
+    return {"op7_urls": urls_sql(), "op10_ngram_join": ngram_join_sql()}
+
+
+def ngram_join_sql(words: int = 4, percent: int = 85) -> str:
+    """All pairs that share a shingle, and all that is reachable from each document; for small tables only."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {words} THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - {words - 2}), lambda i: array_to_string(words[i:i + {words - 1}], ' '))) END AS shingles
+  FROM cut),
+each AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM sets s JOIN reach r ON s.doc_id = r.a GROUP BY s.doc_id, len(s.shingles)"""
 
 
 def urls_sql() -> str:
