@@ -13,7 +13,7 @@ several components: members of different components meet in blocks of bounded si
 overlap (counts of tokens by bucket) leaves few pairs to verify. Pairs inside a component need no look:
 they are connected already.
 
-Bit filters of fixed size spare passes most rows; what they let through by mistake is verified like the rest.
+Bit filters of fixed size spare steps most rows; what they let through by mistake is sorted out after them.
 Empty and null texts have no set and link with nothing. Repeated rows get equal results. Null ids are kept and never name a component unless all of its ids are null.
 """
 
@@ -143,7 +143,7 @@ class Join:
     # --- nodes and token classes -----------------------------------------------------------
 
     def survey(self) -> tuple[DataFrame, np.ndarray]:
-        """``doc_id, node, n`` per document, and the frequent tokens, sorted."""
+        """``doc_id, node, n, counts`` per document, counts by bucket, and the frequent tokens, sorted."""
         n = self.words
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,14 +152,15 @@ class Join:
             def counted() -> pd.DataFrame:
                 tokens, df = np.unique(np.concatenate(held), return_counts=True)
                 often = df > 1
-                return pd.DataFrame({"doc_id": None, "node": None, "n": None, "token": tokens[often].astype(np.int64), "df": df[often]})
+                return pd.DataFrame({"doc_id": None, "node": None, "n": None, "counts": None, "token": tokens[often].astype(np.int64), "df": df[often]})
 
             for batch in batches:
-                nodes, sizes = [], []
+                nodes, sizes, spread = [], [], []
                 for text in batch["text"]:
                     tokens = shingles.of(text)
                     sizes.append(len(tokens))
                     nodes.append(node_of(tokens) if len(tokens) else None)
+                    spread.append(buckets(tokens) if len(tokens) else None)
                     if len(tokens) and nodes[-1] not in seen:
                         seen.add(nodes[-1])
                         held.append(tokens)
@@ -168,28 +169,34 @@ class Join:
                         yield counted()
                         held, seen, size = [], set(), 0
                 yield pd.DataFrame(
-                    {"doc_id": batch["doc_id"], "node": pd.array(nodes, "Int64"), "n": pd.array(sizes, "Int32"), "token": None, "df": None}
+                    {
+                        "doc_id": batch["doc_id"],
+                        "node": pd.array(nodes, "Int64"),
+                        "n": pd.array(sizes, "Int32"),
+                        "counts": spread,
+                        "token": None,
+                        "df": None,
+                    }
                 )
             if held:
                 yield counted()
 
         key = self.source.schema["doc_id"].dataType
-        schema = T.StructType().add("doc_id", key).add("node", "long").add("n", "integer").add("token", "long").add("df", "long")
+        schema = T.StructType().add("doc_id", key).add("node", "long").add("n", "integer").add("counts", "binary").add("token", "long").add("df", "long")
         both = self.stored(self.source.mapInPandas(run, schema), "survey")
         counts = both.filter("token is not null").groupBy("token").agg(F.sum("df").alias("df"))
         total = counts.agg(F.sum("df").alias("s")).first()["s"] or 0
         # Tokens with at least this count are at most FREQUENT_TOKENS many, as all counts add up to the total.
         least = max(FREQUENT, -(-total // FREQUENT_TOKENS))
         frequent = counts.filter(F.col("df") >= least).select("token").toArrow()["token"].to_numpy().astype(np.uint64)
-        return both.filter("token is null").select("doc_id", "node", "n"), np.sort(frequent)
+        return both.filter("token is null").select("doc_id", "node", "n", "counts"), np.sort(frequent)
 
     # --- index -------------------------------------------------------------------------------
 
-    def index(self, frequent: np.ndarray, shared_only: np.ndarray | None = None) -> DataFrame:
-        """``sig, node, n`` rows; with a filter only entries that it lets through, with the bucket counts on a row per node."""
+    def index(self, frequent: np.ndarray) -> DataFrame:
+        """``sig, node, n``: the index entries of every node, copies of it in other tasks included."""
         n, percent = self.words, self.percent
         frequent = self.spark.sparkContext.broadcast(frequent)
-        let = self.spark.sparkContext.broadcast(shared_only)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             shingles, seen = Shingles(n), set()
@@ -203,10 +210,7 @@ class Join:
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(node)
-                    entries = signatures(tokens, frequent.value, percent)
-                    if let.value is not None:
-                        entries = entries[passes(let.value, entries)]
-                    sigs.append(entries)
+                    sigs.append(signatures(tokens, frequent.value, percent))
                     nodes.append(node)
                     sizes.append(len(tokens))
                 if sigs:
@@ -223,9 +227,15 @@ class Join:
 
     def members(self, frequent: np.ndarray) -> DataFrame:
         """``list, pivot, members, node, n``: the index lists of at least two nodes, equal lists once."""
-        ends = self.index(frequent).groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        shared = bit_filter(ends.filter("low <> high"), "sig")
-        rows = self.stored(self.index(frequent, shared).distinct(), "index")
+        entries = self.stored(self.index(frequent), "entries")
+        ends = entries.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        let = self.spark.sparkContext.broadcast(bit_filter(ends.filter("low <> high"), "sig"))
+
+        def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield batch[passes(let.value, batch["sig"].to_numpy(np.int64))]
+
+        rows = self.stored(entries.mapInPandas(shared, entries.schema).distinct(), "index")
         lists = rows.groupBy("sig").agg(
             F.count("*").alias("members"),
             F.min("node").alias("pivot"),
@@ -236,15 +246,20 @@ class Join:
         joined = rows.join(lists.select("sig", "pivot", "members"), "sig")
         return self.stored(joined.select(F.col("sig").alias("list"), "pivot", "members", "node", "n"), "members")
 
+    def node_table(self, wanted: DataFrame) -> DataFrame:
+        """``node, n, counts, doc_id`` of the wanted nodes; the smallest id of the documents that share the set."""
+        docs = self.docs.filter("node is not null").join(wanted, "node", "left_semi")
+        once = docs.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("counts").alias("counts"))
+        return self.stored(once, "nodes")
+
     # --- verification ------------------------------------------------------------------------
 
     def sets(self, wanted: DataFrame, name: str) -> DataFrame:
-        """``node, n, counts, tokens`` for the wanted nodes. Texts are read again, but only those of one document
+        """``node, tokens`` for the wanted nodes. Texts are read again, but only those of one document
         per node are cut into shingles.
         """
         n = self.words
-        docs = self.docs.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        chosen = docs.join(wanted, "node", "left_semi").select(F.xxhash64("doc_id").alias("key"))
+        chosen = self.nodes.join(wanted, "node", "left_semi").select(F.xxhash64("doc_id").alias("key"))
         let = self.spark.sparkContext.broadcast(bit_filter(chosen, "key"))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,19 +271,22 @@ class Join:
                     node = node_of(tokens) if len(tokens) else None
                     if node is not None and node not in seen:
                         seen.add(node)
-                        rows.append((node, len(tokens), buckets(tokens), tokens.tobytes()))
+                        rows.append((node, tokens.tobytes()))
                 if rows:
-                    yield pd.DataFrame(rows, columns=["node", "n", "counts", "tokens"])
+                    yield pd.DataFrame(rows, columns=["node", "tokens"])
 
         keyed = self.source.select(F.xxhash64("doc_id").alias("key"), "text")
-        found = keyed.mapInPandas(run, "node long, n int, counts binary, tokens binary")
+        found = keyed.mapInPandas(run, "node long, tokens binary")
         return self.stored(found.join(wanted, "node", "left_semi").dropDuplicates(["node"]), name)
 
-    def linked(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs ``a, b`` that link: the bound on the overlap first, then the sets themselves."""
+    def beside(self, pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return pairs
+
+    def likely(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs ``a, b`` that sizes and counts by bucket do not rule out."""
         percent = self.percent
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = self.sets(nodes, f"{name}-sets")
 
         def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -279,22 +297,25 @@ class Join:
                     total = batch["n_a"].to_numpy(np.int64) + batch["n_b"].to_numpy(np.int64)
                     yield batch.loc[100 * most >= percent * (total - most), ["a", "b"]]
 
+        sized = self.beside(pairs, self.nodes, "n").filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        counted = self.beside(sized, self.nodes, "counts")
+        return self.stored(counted.mapInPandas(bounded, "a long, b long"), name)
+
+    def linked(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs ``a, b`` that link, by their sets."""
+        percent = self.percent
+        sets = self.sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), f"{name}-sets")
+
         def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                keep = []
-                for x, y in zip(batch["tokens_a"], batch["tokens_b"]):
+                keep = np.zeros(len(batch), bool)
+                for i, (x, y) in enumerate(zip(batch["tokens_a"], batch["tokens_b"])):
                     a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                     both = np.intersect1d(a, b, assume_unique=True).size
-                    keep.append(100 * both >= percent * (len(a) + len(b) - both))
+                    keep[i] = 100 * both >= percent * (len(a) + len(b) - both)
                 yield batch.loc[keep, ["a", "b"]]
 
-        def beside(pairs: DataFrame, *columns: str) -> DataFrame:
-            for side in ("a", "b"):
-                pairs = pairs.join(sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-            return pairs
-
-        likely = self.stored(beside(pairs, "n", "counts").mapInPandas(bounded, "a long, b long"), f"{name}-likely")
-        return self.stored(beside(likely, "tokens").mapInPandas(exact, "a long, b long"), f"{name}-links")
+        return self.stored(self.beside(pairs, sets, "tokens").mapInPandas(exact, "a long, b long"), f"{name}-links")
 
     # --- rounds ------------------------------------------------------------------------------
 
@@ -305,11 +326,10 @@ class Join:
         sides = known.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         open_lists = sides.filter("low <> high").select("list")
         rows = self.stored(known.join(open_lists, "list", "left_semi"), "mixed")
-        sets = self.sets(rows.select("node").distinct(), "mixed-counts").select("node", "counts")
         blocks = F.ceil(F.col("members") / BLOCK).cast("int")
         rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        rows = rows.join(sets, "node").select(
+        rows = rows.join(self.nodes.select("node", "counts"), "node").select(
             "list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "counts"
         )
 
@@ -351,8 +371,9 @@ class Join:
         """``node, component`` for all nodes that link."""
         self.docs, frequent = self.survey()
         members = self.members(frequent)
+        self.nodes = self.node_table(members.select("node").distinct())
         star = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        links = self.linked(self.stored(star, "star"), "star")
+        links = self.linked(self.likely(star, "star"), "star")
         first = self.stored(components(links), "first-components")
         rest = self.stored(self.mixed_pairs(members, first), "rest")
         more = self.linked(rest.join(links, ["a", "b"], "left_anti"), "rest")
