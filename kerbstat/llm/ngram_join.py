@@ -37,8 +37,9 @@ FREQUENT = 32  # documents from which on a token is frequent
 FREQUENT_TOKENS = 4_000_000  # at most so many
 COUNTED = 4_000_000  # tokens counted together in a task
 BITS = 1 << 27  # of a filter
-BUCKETS = 256
+BUCKETS = 1024
 BLOCK = 512  # members of a block
+FIRST_LISTS = 64  # lists of a member that tell whether two meet elsewhere
 REMEMBERED = 500_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -124,7 +125,19 @@ def passes(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def buckets(tokens: np.ndarray) -> bytes:
-    return np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS).astype("<u4").tobytes()
+    """Tokens by bucket, 255 standing for that or more."""
+    counts = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def most_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """An upper bound of the overlap from two rows of counts; full buckets may hold anything."""
+    least = np.minimum(a, b)
+    return least.sum(axis=1, dtype=np.int64) + (1 << 40) * (least == 255).any(axis=1)
+
+
+def unpacked(counts: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(counts), np.uint8).reshape(-1, BUCKETS)
 
 
 class Join:
@@ -291,9 +304,7 @@ class Join:
         def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 if len(batch):
-                    a = np.frombuffer(b"".join(batch["counts_a"]), "<u4").reshape(-1, BUCKETS)
-                    b = np.frombuffer(b"".join(batch["counts_b"]), "<u4").reshape(-1, BUCKETS)
-                    most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+                    most = most_common(unpacked(batch["counts_a"]), unpacked(batch["counts_b"]))
                     total = batch["n_a"].to_numpy(np.int64) + batch["n_b"].to_numpy(np.int64)
                     yield batch.loc[100 * most >= percent * (total - most), ["a", "b"]]
 
@@ -320,49 +331,69 @@ class Join:
     # --- rounds ------------------------------------------------------------------------------
 
     def mixed_pairs(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of members of one list in different components that the sizes do not rule out, from blocks of bounded size."""
+        """Pairs of members of one list in different components that sizes and counts do not rule out.
+
+        Members meet in blocks of bounded size. The pivot has met all members before. A pair is left out where the first lists of both
+        show that an earlier list holds them too.
+        """
         percent = self.percent
-        known = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        known = members.filter("node <> pivot").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         sides = known.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_lists = sides.filter("low <> high").select("list")
-        rows = self.stored(known.join(open_lists, "list", "left_semi"), "mixed")
+        rows = self.stored(known.join(sides.filter("low <> high").select("list"), "list", "left_semi"), "mixed")
+        first = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("list")), 1, FIRST_LISTS).alias("first"))
+        about = self.nodes.select("node", "counts").join(first, "node")
         blocks = F.ceil(F.col("members") / BLOCK).cast("int")
         rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        rows = rows.join(self.nodes.select("node", "counts"), "node").select(
-            "list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "counts"
+        rows = rows.join(about, "node").select(
+            "list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "counts", "first"
         )
-
-        def pairs_of(group: pd.DataFrame) -> pd.DataFrame:
-            counts = np.frombuffer(b"".join(group["counts"]), "<u4").reshape(-1, BUCKETS)
-            n, comp, own, node = (group[c].to_numpy(np.int64) for c in ("n", "component", "own", "node"))
-            between = group["i"].iat[0] != group["j"].iat[0]
-            a, b = [], []
-            for x in range(len(group) - 1):
-                y = slice(x + 1, None)
+        corner = {m: np.triu_indices(m, 1) for m in range(65)}
+
+        def pairs_of(this: int, between: bool, own, node, n, comp, counts, first) -> list[tuple[int, int]]:
+            m = len(node)
+            if m <= 64:
+                steps = [corner[m]]
+            else:
+                steps = ((np.full(m - x - 1, x), np.arange(x + 1, m)) for x in range(m - 1))
+            out = []
+            for x, y in steps:
                 may = (comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))
                 if between:
                     may &= own[y] != own[x]
-                near = np.flatnonzero(may) + x + 1
-                if len(near):
-                    most = np.minimum(counts[near], counts[x]).sum(axis=1, dtype=np.int64)
-                    near = near[100 * most >= percent * (n[near] + n[x] - most)]
-                    a.append(np.minimum(node[near], node[x]))
-                    b.append(np.maximum(node[near], node[x]))
-            return pd.DataFrame({"a": np.concatenate(a or [np.zeros(0, np.int64)]), "b": np.concatenate(b or [np.zeros(0, np.int64)])})
+                x, y = x[may], y[may]
+                if not len(x):
+                    continue
+                most = most_common(unpacked(counts[x]), unpacked(counts[y])) if m <= 64 else most_common(counts[x], counts[y])
+                near = 100 * most >= percent * (n[x] + n[y] - most)
+                for a, b in zip(x[near].tolist(), y[near].tolist()):
+                    if not any(c < this for c in first[a] & first[b]):
+                        out.append((min(node[a], node[b]), max(node[a], node[b])))
+            return out
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            rest = None
-            for batch in batches:
-                batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            def groups(batch: pd.DataFrame, last: bool) -> tuple[list[tuple[int, int]], pd.DataFrame]:
                 keys = batch[["list", "i", "j"]].to_numpy()
-                starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)]) if len(batch) else np.zeros(0, int)
-                for s, e in zip(starts[:-1], starts[1:]):
+                starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+                ends = np.r_[starts[1:], len(batch)] if last else starts[1:]
+                own, node, n, comp = (batch[c].to_numpy(np.int64) for c in ("own", "node", "n", "component"))
+                counts, first, out = batch["counts"].to_numpy(), batch["first"].to_numpy(), []
+                for s, e in zip(starts.tolist(), ends.tolist()):
                     if e - s > 1:
-                        yield pairs_of(batch.iloc[s:e])
-                rest = batch.iloc[starts[-1] :].reset_index(drop=True) if len(starts) else batch
-            if rest is not None and len(rest) > 1:
-                yield pairs_of(rest)
+                        held = counts[s:e] if e - s <= 64 else unpacked(counts[s:e])
+                        meet = [frozenset(f.tolist()) for f in first[s:e]]
+                        out += pairs_of(int(keys[s, 0]), keys[s, 1] != keys[s, 2], own[s:e], node[s:e], n[s:e], comp[s:e], held, meet)
+                return out, batch.iloc[starts[-1] :]
+
+            rest = None
+            for batch in batches:
+                if rest is not None:
+                    batch = pd.concat([rest, batch], ignore_index=True)
+                if len(batch):
+                    out, rest = groups(batch, last=False)
+                    yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+            if rest is not None and len(rest):
+                yield pd.DataFrame(groups(rest, last=True)[0], columns=["a", "b"], dtype=np.int64)
 
         dealt = rows.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
         return dealt.mapInPandas(run, "a long, b long").distinct()
