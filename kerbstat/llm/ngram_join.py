@@ -38,7 +38,7 @@ FREQUENT_TOKENS = 4_000_000  # at most so many
 COUNTED = 4_000_000  # tokens counted together in a task
 BITS = 1 << 27  # of a filter
 BUCKETS = 1024
-BLOCK = 512  # members of a block
+BLOCK = 4096  # members of a block; two of them, 1 KB a member, are what a task holds
 FIRST_LISTS = 64  # lists of a member that tell whether two meet elsewhere
 REMEMBERED = 500_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -261,9 +261,9 @@ class Join:
 
     def node_table(self, wanted: DataFrame) -> DataFrame:
         """``node, n, counts, doc_id`` of the wanted nodes; the smallest id of the documents that share the set."""
-        docs = self.docs.filter("node is not null").join(wanted, "node", "left_semi")
+        docs = self.docs.filter("node is not null")
         once = docs.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("counts").alias("counts"))
-        return self.stored(once, "nodes")
+        return self.stored(once.join(wanted, "node", "left_semi"), "nodes")
 
     # --- verification ------------------------------------------------------------------------
 
