@@ -26,7 +26,7 @@ SAMPLE_ROWS = 20_000
 CALIBRATION = 200
 TARGET = 0.96
 BRANCHES = 8
-LEAF_ROWS = 500  # rows of a leaf aimed at, as far as the sample allows
+LEAF_ROWS = 4  # times the square root of the rows is the most that a leaf is to hold, as far as the sample allows
 LEAF_SAMPLE = 16  # least rows of the sample in a leaf
 PART_ROWS, BLOCK_QUERIES = 4096, 2048
 STEPS = 15  # of k-means
@@ -162,7 +162,7 @@ def search(
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     x = unit(stacked(sample["vector"]))
-    tree = spark.sparkContext.broadcast(grow(x, max(LEAF_SAMPLE, int(len(x) * LEAF_ROWS / n))))
+    tree = spark.sparkContext.broadcast(grow(x, max(LEAF_SAMPLE, int(LEAF_ROWS * len(x) / n**0.5))))
 
     def to_leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -186,7 +186,8 @@ def search(
             yield pd.DataFrame(out, columns=["key", "vector", "leaf", "part"])
 
     block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block")
-    left = keyed.mapInPandas(to_visits, "key long, vector array<double>, leaf int, part int").select("*", block)
+    spread = keyed.repartition(max(1, spark.sparkContext.defaultParallelism), "key")
+    left = spread.mapInPandas(to_visits, "key long, vector array<double>, leaf int, part int").select("*", block)
     count = F.element_at(F.create_map(*[F.lit(v) for pair in parts.items() for v in pair]), F.col("leaf"))
     right = placed.withColumn("part", F.pmod(F.xxhash64("vector"), count).cast("int"))
     right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

@@ -35,12 +35,12 @@ from kerbstat.session import scratch_dir
 PAIRED = 128  # shingles up to which frequent tokens are indexed in pairs
 FREQUENT = 32  # documents from which on a token is frequent
 FREQUENT_TOKENS = 4_000_000  # at most so many
-COUNTED = 4_000_000  # tokens counted together in a task
+COUNTED = 2_000_000  # tokens counted together in a task
 BITS = 1 << 27  # of a filter
 BUCKETS = 1024
 BLOCK = 4096  # members of a block; two of them, 1 KB a member, are what a task holds
 FIRST_LISTS = 64  # lists of a member that tell whether two meet elsewhere
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -262,8 +262,10 @@ class Join:
     def node_table(self, wanted: DataFrame) -> DataFrame:
         """``node, n, counts, doc_id`` of the wanted nodes; the smallest id of the documents that share the set."""
         docs = self.docs.filter("node is not null")
-        once = docs.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("counts").alias("counts"))
-        return self.stored(once.join(wanted, "node", "left_semi"), "nodes")
+        once = docs.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id")).join(wanted, "node", "left_semi")
+        counts = docs.select(F.col("node").alias("_node"), F.col("doc_id").alias("_id"), "counts")
+        found = once.join(counts, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+        return self.stored(found.dropDuplicates(["_node", "_id"]).select("node", "n", "doc_id", "counts"), "nodes")
 
     # --- verification ------------------------------------------------------------------------
 
