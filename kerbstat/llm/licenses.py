@@ -225,6 +225,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kept = F.when(F.size("hits") > 0, F.aggregate("hits", start, keep, lambda acc: acc["kept"]))
     source = source.select("*", kept.alias("kept"))
 
+    detection = lambda d: F.struct(
+        d["start"].alias("start"), (-d["back"]).alias("end"), d["level"].alias("level"), d["rule"].alias("rule"), d["label"].alias("label")
+    )
     total = sum((F.coalesce(F.col(f"base{i}.n"), F.lit(0)) for i in range(len(BASE))), F.lit(0)).cast("long")
     base = F.array_compact(F.array(*[F.when(F.col(f"base{i}.n") > 0, F.lit(label)) for i, label in enumerate(BASE.values())]))
     labels = F.array_distinct(F.concat(base, F.coalesce(F.transform("kept", lambda d: d["label"]), F.array().cast("array<string>"))))
@@ -239,5 +242,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
         F.array_join(F.array_sort(labels), ",").alias("labels"),
         score.alias("score"),
-        F.transform("kept", lambda d: F.struct(d["start"].alias("start"), (-d["back"]).alias("end"), d["level"].alias("level"), d["rule"].alias("rule"), d["label"].alias("label"))).alias("detections"),
+        F.coalesce(F.transform("kept", detection), F.array().cast("array<struct<start:int,end:int,level:int,rule:int,label:string>>")).alias("detections"),
     )
