@@ -409,7 +409,7 @@ class Join:
         links = self.linked(self.likely(star, "star"), "star")
         first = self.stored(components(links), "first-components")
         rest = self.stored(self.mixed_pairs(members, first), "rest")
-        more = self.linked(rest.join(links, ["a", "b"], "left_anti"), "rest")
+        more = self.linked(rest, "rest")  # none of them is linked already: their components differ
         both = first.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more)
         return self.stored(components(both), "components")
 
