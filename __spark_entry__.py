@@ -193,7 +193,7 @@ def _feature_importance(df: DataFrame) -> DataFrame:
 
 def _weighted_forest_summary(df: DataFrame) -> DataFrame:
     train, test = splits.hash_split(df)
-    model = models.train_weighted_forest(train, trees=20, depth=10)
+    model = models.train_weighted_forest(train)
     return _summary(models.score_weighted_forest(model, features.labelled(test)))
 
 
@@ -251,7 +251,7 @@ def _stream_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     table = driver_tables.accidents(spark, folder)
-    model = models.train_forest(table, trees=10, depth=5)
+    model = models.train_forest(table)
     stream = alerts.scored(replay.as_stream(table), model)
     return replay.run_to_table(stream.select("id", "start_time", "state", "predicted_severity"), "scores")
 
@@ -368,12 +368,16 @@ FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_na
 
 _SEVERE = "COUNT(*) FILTER (WHERE severity >= 3)"
 _DAY = "dayname(start_time)"
+# Hours of the bands and of the rush, as published.
 _BAND = (
-    "CASE WHEN hour(start_time) IN (6, 7, 8, 9) THEN 'Morning Rush' "
-    "WHEN hour(start_time) IN (10, 11, 12, 13, 14, 15) THEN 'Midday' "
-    "WHEN hour(start_time) IN (16, 17, 18, 19) THEN 'Evening Rush' ELSE 'Night' END"
+    "CASE WHEN hour(start_time) BETWEEN 6 AND 9 THEN 'Morning Rush' "
+    "WHEN hour(start_time) BETWEEN 10 AND 15 THEN 'Midday' "
+    "WHEN hour(start_time) BETWEEN 16 AND 19 THEN 'Evening Rush' ELSE 'Night' END"
+)
+_PERIOD = (
+    "CASE WHEN hour(start_time) BETWEEN 7 AND 9 OR hour(start_time) BETWEEN 16 AND 18 "
+    "THEN 'Rush Hour' ELSE 'Off Peak' END"
 )
-_PERIOD = "CASE WHEN hour(start_time) IN (7, 8, 9, 16, 17, 18) THEN 'Rush Hour' ELSE 'Off Peak' END"
 _ROAD = (
     "CASE WHEN junction THEN 'Junction' ELSE 'No Junction' END || ' + ' || "
     "CASE WHEN traffic_signal THEN 'Signal' ELSE 'No Signal' END"

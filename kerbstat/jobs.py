@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbstat.operators import evaluation, models, splits
@@ -94,9 +95,19 @@ def process(events: DataFrame, target: str, model=None, every: str | None = None
     return started
 
 
-def stream(spark: SparkSession, target: str, model_path: str | None, brokers: str, topic: str) -> None:
-    raw = messages.kafka_stream(spark, brokers, topic)
-    events = messages.parse_messages(raw).drop(messages.MALFORMED)
+def keep_malformed(parsed: DataFrame, target: str, every: str | None = None) -> StreamingQuery:
+    """Start a query that stores the text of messages that did not parse."""
+    lost = parsed.filter(F.col(messages.MALFORMED).isNotNull()).select(messages.MALFORMED)
+    return sinks.write_parquet_stream(lost, f"{target}/malformed", checkpoint=f"{target}/_checkpoints/malformed", every=every)
+
+
+def stream(
+    spark: SparkSession, target: str, model_path: str | None, brokers: str, topic: str, max_offsets: int | None = None
+) -> None:
+    raw = messages.kafka_stream(spark, brokers, topic, max_offsets=max_offsets)
+    parsed = messages.parse_messages(raw)
+    events = parsed.filter(F.col(messages.MALFORMED).isNull()).drop(messages.MALFORMED)
+    keep_malformed(parsed, target, every="10 seconds")
     model = models.load_model(model_path) if model_path else None
     process(events, target, model, every="10 seconds")
     spark.streams.awaitAnyTermination()
@@ -110,10 +121,11 @@ def main() -> None:
     parser.add_argument("--model")
     parser.add_argument("--brokers", default=messages.BROKERS)
     parser.add_argument("--topic", default=messages.TOPIC)
+    parser.add_argument("--max-offsets", type=int, help="records of a micro-batch at most")
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"kerbstat {args.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.job == "stream":
-        stream(spark, args.output, args.model, args.brokers, args.topic)
+        stream(spark, args.output, args.model, args.brokers, args.topic, args.max_offsets)
     elif args.job == "train":
         train(spark, args.input, args.output).show()
     else:

@@ -17,7 +17,8 @@ def random_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42) ->
 
 
 def _digest(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
+    """A null key counts as empty text, so that its rows fall on one side and are not lost."""
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"#{seed}")))
 
 
 def hash_split(

@@ -16,15 +16,19 @@ PREVIEW_COLUMNS = ("severity", "state", "temperature_f", "humidity_pct", "weathe
 
 
 def _typed(value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.TimestampNTZType):
+        return clock.lenient_timestamp(value)
     if isinstance(dtype, T.IntegerType):
-        value = value.try_cast("double")  # "3.0" is an integer to the writers of such files
-    return value.try_cast(dtype)
+        number = value.try_cast("double")  # "3.0" is an integer to the writers of such files, "3.7" is none
+        return F.when(number == F.floor(number), number.try_cast(dtype))
+    typed = value.try_cast(dtype)
+    return F.when(~F.isnan(typed), typed) if isinstance(dtype, T.DoubleType) else typed
 
 
 def conform(df: DataFrame) -> DataFrame:
     """Rename every column to its canonical name and cast the known ones to the schema.
 
-    A value that does not parse becomes null. Unknown columns keep their type.
+    A value that does not parse becomes null, and so does ``NaN``. Unknown columns keep their type.
     """
     types = {f.name: f.dataType for f in ACCIDENTS}
     columns = []
@@ -37,14 +41,16 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
-def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Scan CSV files with a header line.
 
     Only the header line is read up front: types come from the schema, not from a pass
     over the data. ``enforceSchema=false`` makes a file with another header fail instead
-    of being read by position.
+    of being read by position. Quotes inside a quoted value are doubled, as such files have them; values
+    with line breaks need ``multi_line``, which keeps a file from being split.
     """
-    return conform(spark.read.option("header", True).option("enforceSchema", False).csv(path))
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
+    return conform(reader.option("multiLine", multi_line).csv(path))
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -67,7 +73,7 @@ def write_parquet(df: DataFrame, path: str, by_year: bool = False) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Store the table as CSV files under the published headers."""
-    writer = with_header_names(df).write.mode("overwrite").option("header", True)
+    writer = with_header_names(df).write.mode("overwrite").option("header", True).option("escape", '"')
     writer.option("timestampNTZFormat", TIME_FORMAT).csv(path)
 
 

@@ -35,3 +35,11 @@ def test_from_csv_to_alerts(spark, small, tmp_path):
     dated = small.filter("start_time IS NOT NULL").count()
     for name in ("windows-5-minutes", "windows-60-minutes"):
         assert spark.read.parquet(at("live") + "/" + name).groupBy().sum("accidents").first()[0] == dated
+
+
+def test_malformed_messages_are_kept(spark, small, tmp_path):
+    texts = messages.to_messages(small.limit(5)).select("value").unionByName(spark.createDataFrame([("{no json",)], "value string"))
+    texts.write.text(str(tmp_path / "topic"))
+    parsed = messages.parse_messages(spark.readStream.text(str(tmp_path / "topic")))
+    jobs.keep_malformed(parsed, str(tmp_path / "live")).awaitTermination()
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "live" / "malformed")).collect()] == ["{no json"]

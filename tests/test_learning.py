@@ -202,3 +202,10 @@ def test_rule_probabilities_sum_to_one(accidents):
     total = sum(F.col(f"probability_s{c}") for c in (2, 3, 4)) + F.col("probability_s1")
     assert scored.filter("risk IS NOT NULL").filter(F.abs(total - 1) > 1e-9).count() == 0
     assert scored.filter("risk IS NULL AND predicted_severity IS NOT NULL").count() == 0
+
+
+def test_no_row_is_lost_by_a_null_key(make):
+    table = make([{"id": None, "severity": 2}, {"id": None, "severity": 3}, {"id": "A", "severity": 2}])
+    train, test = splits.hash_split(table)
+    assert train.count() + test.count() == 3
+    assert splits.stratified_split(features.labelled(table)).filter("split IS NULL").count() == 0

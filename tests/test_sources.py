@@ -151,3 +151,14 @@ def test_kafka_calls_fail_only_for_want_of_the_connector(spark, small):
     for call in (lambda: messages.kafka_stream(spark, max_offsets=10), lambda: messages.publish(small)):
         with pytest.raises(Exception, match="(?i)kafka"):
             call()
+
+
+def test_quotes_nan_and_fractions_in_csv(spark, make, tmp_path):
+    text = 'ID,Severity,Street,State,Temperature(F)\nA-1,3,"crash at ""Main"", two lanes",OH,36\nA-2,3.7,x,OH,NaN\n'
+    (tmp_path / "in.csv").write_text(text)
+    rows = sorted(files.read_csv(spark, str(tmp_path / "in.csv")).collect())
+    assert tuple(rows[0]) == ("A-1", 3, 'crash at "Main", two lanes', "OH", 36.0)
+    assert tuple(rows[1]) == ("A-2", None, "x", "OH", None)
+    table = make([{"id": "A", "street": 'a "b", c'}, {"id": "B", "street": 'line"'}])
+    files.write_csv(table, str(tmp_path / "out"))
+    assert sorted(r.street for r in files.read_csv(spark, str(tmp_path / "out")).collect()) == ['a "b", c', 'line"']
