@@ -157,7 +157,7 @@ def predict(model: Model, batch: pd.Series) -> pd.DataFrame:
     return out
 
 
-def in_parts(batch: pd.DataFrame, column: str = "text", chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
+def in_parts(batch: pd.DataFrame, column: str = "text", chars: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """A batch cut so that the texts of a part hold about ``chars`` characters or are one text."""
     size = batch[column].map(lambda t: len(t) if isinstance(t, str) else 0).cumsum() // chars
     for _, part in batch.groupby(size, sort=True):

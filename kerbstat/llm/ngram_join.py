@@ -35,12 +35,12 @@ from kerbstat.session import scratch_dir
 PAIRED = 128  # shingles up to which frequent tokens are indexed in pairs
 FREQUENT = 32  # documents from which on a token is frequent
 FREQUENT_TOKENS = 4_000_000  # at most so many
-COUNTED = 2_000_000  # tokens counted together in a task
-BITS = 1 << 27  # of a filter
+COUNTED = 1_000_000  # tokens counted together in a task
+BITS = 1 << 26  # of a filter
 BUCKETS = 1024
 BLOCK = 4096  # members of a block; two of them, 1 KB a member, are what a task holds
 FIRST_LISTS = 64  # lists of a member that tell whether two meet elsewhere
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
