@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,8 +12,22 @@ def held_out(key: Column, parts: int, part: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let an Arrow batch hold at most ``rows`` rows: texts are long, and the default of 10,000 takes too much of a
+    task's memory. A smaller setting of the session stays; the setting holds for the session.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, rows)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only key and text, under fixed names, so that further columns of any name do no harm."""
+    small_batches(docs.sparkSession)
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstat.llm.common import bounded_sample, texts
+from kerbstat.llm.common import bounded_sample, small_batches, texts
 
 SAMPLE_ROWS = 20_000
 GRAMS = 6_000  # per language
@@ -181,6 +181,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = ACCEPTED) -> DataFrame:
     """The rows, whole, whose text has a language that explains at least ``least`` of its grams."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

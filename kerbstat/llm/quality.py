@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstat.llm.common import bounded_sample, fit_logistic, logistic, texts
+from kerbstat.llm.common import bounded_sample, fit_logistic, logistic, small_batches, texts
 
 SAMPLE_ROWS = 12_000
 PIECES, PIECE = 1_500, 2_000  # per label: pieces of a dictionary's text, characters of a piece
@@ -136,6 +136,7 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows, whole, whose score is at least ``least``."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
