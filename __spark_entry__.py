@@ -130,6 +130,39 @@ def _json_round_trip(df: DataFrame) -> DataFrame:
     return messages.parse_messages(messages.to_messages(df), df.schema)
 
 
+def _csv_quoted_round_trip(df: DataFrame) -> DataFrame:
+    """Texts with quotes and commas, as files hold them, come back unchanged."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "csv-quoted")
+    quoted = F.concat(F.lit('at "'), "state", F.lit('", lane '), "city")
+    files.write_csv(df.select("id", quoted.alias("street"), "severity"), path)
+    return files.read_csv(spark, path)
+
+
+def _view_sql(df: DataFrame) -> DataFrame:
+    """SQL text over the published headers."""
+    files.register_view(df, "accidents_by_header", header_names=True)
+    return df.sparkSession.sql(
+        "SELECT State AS state, COUNT(*) AS accidents, MAX(`Temperature(F)`) AS warmest FROM accidents_by_header GROUP BY State"
+    )
+
+
+def _time_columns(df: DataFrame) -> DataFrame:
+    return files.add_time_columns(df).select("id", "hour", "month", "day_of_week", "year")
+
+
+def _lenient_times(df: DataFrame) -> DataFrame:
+    """Times as text, every seventh hour spoilt."""
+    text = F.date_format("start_time", "yyyy-MM-dd HH:mm:ss")
+    spoilt = F.when(F.hour("start_time") % 7 == 0, F.concat(F.lit("about "), text)).otherwise(text)
+    return df.select("id", clock.lenient_timestamp(spoilt).alias("start_time"))
+
+
+def _rule_unscored(df: DataFrame) -> DataFrame:
+    """Rows that the rule metrics cannot speak of, per true level."""
+    missing = F.col("prediction").isNull()
+    return rules.score_by_rule(df).groupBy("severity").agg(F.count("*").alias("rows"), F.count_if(missing).alias("unscored"))
+
+
 def _stratified_split(df: DataFrame) -> DataFrame:
     return splits.stratified_split(features.labelled(df)).select("id", "severity", "split")
 
@@ -158,13 +191,58 @@ def _boosted_features(df: DataFrame) -> DataFrame:
 
 # --- models: trained on the hash split of the whole table ------------------------------
 
-BOOSTED_TRIAL = {"rounds": 5, "depth": 4}
+_fitted: dict[tuple[str, str, str], models.PipelineModel] = {}
 
 
-def _forest_test_scores(df: DataFrame) -> tuple[models.PipelineModel, DataFrame]:
-    train, test = splits.hash_split(df)
-    model = models.train_forest(train)
-    return model, models.score_forest(model, features.labelled(test))
+def _model(name: str, train: Callable[..., models.PipelineModel], rows: DataFrame, folder: str) -> models.PipelineModel:
+    """Trained once per session and folder, at the published size, in as many tasks as there are cores."""
+    context = rows.sparkSession.sparkContext
+    key = (context.applicationId, folder, name)
+    if key not in _fitted:
+        _fitted[key] = train(rows, partitions=context.defaultParallelism)
+    return _fitted[key]
+
+
+def _forest(spark: SparkSession, folder: str) -> tuple[models.PipelineModel, DataFrame]:
+    train, test = splits.hash_split(driver_tables.accidents(spark, folder))
+    return _model("forest", models.train_forest, train, folder), features.labelled(test)
+
+
+def _weighted_forest(spark: SparkSession, folder: str) -> tuple[models.PipelineModel, DataFrame]:
+    train, test = splits.hash_split(driver_tables.accidents(spark, folder))
+    return _model("weighted", models.train_weighted_forest, train, folder), features.labelled(test)
+
+
+def _boosted(spark: SparkSession, folder: str) -> tuple[models.PipelineModel, DataFrame]:
+    sides = splits.stratified_split(features.labelled(driver_tables.accidents(spark, folder)))
+    train, test = splits.split_frames(sides)
+    return _model("boosted", models.train_boosted, train.drop("label"), folder), test
+
+
+def _checks(fitted: Callable, score: Callable) -> Query:
+    """Per severity: scored test rows, those whose probabilities do not sum to 1 or whose level is out of range,
+    and those that the stored and loaded model scores otherwise."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        model, test = fitted(spark, folder)
+        path = scratch_dir(spark, "model")
+        models.save_model(model, path)
+        first = score(model, test).select(*test.columns, F.col("predicted_severity").alias("first"))
+        scored = score(models.load_model(path), first)
+        total = sum((F.col(f"probability_s{c}") for c in (2, 3, 4)), F.col("probability_s1"))
+        level = F.col("predicted_severity")
+        return scored.groupBy("severity").agg(
+            F.count("*").alias("scored"),
+            F.count_if(total.isNull() | (F.abs(total - 1) > 1e-9)).alias("off_totals"),
+            F.count_if(level.isNull() | ~level.between(1, 4)).alias("off_levels"),
+            F.count_if(~level.eqNullSafe(F.col("first"))).alias("changed_by_storage"),
+        )
+
+    return run
+
+
+def _forest_test_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return models.score_forest(*_forest(spark, folder))
 
 
 def _summary(scored: DataFrame) -> DataFrame:
@@ -175,32 +253,28 @@ def _summary(scored: DataFrame) -> DataFrame:
     )
 
 
-def _rf_predictions_summary(df: DataFrame) -> DataFrame:
-    return _summary(_forest_test_scores(df)[1])
+def _rf_predictions_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return _summary(_forest_test_scores(spark, folder))
 
 
-def _rf_metrics(df: DataFrame) -> DataFrame:
-    return evaluation.overall_metrics(evaluation.confusion_counts(_forest_test_scores(df)[1]))
+def _rf_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluation.overall_metrics(evaluation.confusion_counts(_forest_test_scores(spark, folder)))
 
 
-def _confusion_matrix(df: DataFrame) -> DataFrame:
-    return evaluation.confusion_matrix(evaluation.confusion_counts(_forest_test_scores(df)[1]))
+def _confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluation.confusion_matrix(evaluation.confusion_counts(_forest_test_scores(spark, folder)))
 
 
-def _feature_importance(df: DataFrame) -> DataFrame:
-    return models.feature_importance(models.train_forest(splits.hash_split(df)[0]))
+def _feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return models.feature_importance(_forest(spark, folder)[0])
 
 
-def _weighted_forest_summary(df: DataFrame) -> DataFrame:
-    train, test = splits.hash_split(df)
-    model = models.train_weighted_forest(train)
-    return _summary(models.score_weighted_forest(model, features.labelled(test)))
+def _weighted_forest_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return _summary(models.score_weighted_forest(*_weighted_forest(spark, folder)))
 
 
-def _boosted_predictions_summary(df: DataFrame) -> DataFrame:
-    train, test = splits.split_frames(splits.stratified_split(features.labelled(df)))
-    model = models.train_boosted(train.drop("label"), **BOOSTED_TRIAL)
-    return _summary(models.score_boosted(model, test))
+def _boosted_predictions_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return _summary(models.score_boosted(*_boosted(spark, folder)))
 
 
 # --- streams: the accident table read as a stream, results read back from the sink --------
@@ -242,7 +316,8 @@ def _stored_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return alerts.running_totals(_stored_scores(spark, folder))
+    stream = alerts.scored(replay.as_stream(driver_tables.accidents(spark, folder)))
+    return replay.run_to_totals(alerts.running_totals(stream), "totals")
 
 
 def _stream_latest(spark: SparkSession, folder: str) -> DataFrame:
@@ -251,7 +326,7 @@ def _stream_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     table = driver_tables.accidents(spark, folder)
-    model = models.train_forest(table)
+    model, _ = _forest(spark, folder)
     stream = alerts.scored(replay.as_stream(table), model)
     return replay.run_to_table(stream.select("id", "start_time", "state", "predicted_severity"), "scores")
 
@@ -291,6 +366,7 @@ def queries() -> dict[str, Query]:
         # profile
         "table_size": profile.table_size,
         "null_profile": profile.null_profile,
+        "dense_columns": lambda df: profile.drop_sparse_columns(df, above_pct=25.0),
         "numeric_summary": lambda df: _rounded(profile.numeric_summary(df)),
         "severity_correlation": lambda df: _rounded(profile.severity_correlation(df)),
         # row functions
@@ -301,6 +377,11 @@ def queries() -> dict[str, Query]:
         # sources
         "earliest_rows": lambda df: files.earliest_rows(df, 500).select("id", "start_time"),
         "csv_round_trip": _csv_round_trip,
+        "csv_quoted_round_trip": _csv_quoted_round_trip,
+        "lenient_times": _lenient_times,
+        "time_columns": _time_columns,
+        "view_sql": _view_sql,
+        "preview_rows": lambda df: files.preview(df.orderBy("id"), ("id", *files.PREVIEW_COLUMNS)),
         "parquet_round_trip": _parquet_round_trip,
         "json_round_trip": _json_round_trip,
         # learning
@@ -311,16 +392,11 @@ def queries() -> dict[str, Query]:
         "stratified_split": _stratified_split,
         "hash_split": _hash_split,
         "category_codes": features.category_codes,
+        "rule_unscored": _rule_unscored,
         "rule_confusion": _rule_counts,
         "rule_confusion_matrix": lambda df: evaluation.confusion_matrix(_rule_counts(df)),
         "rule_class_report": lambda df: _rounded(evaluation.class_report(_rule_counts(df)).drop("hits")),
         "rule_metrics": lambda df: _rounded(evaluation.overall_metrics(_rule_counts(df))),
-        "rf_predictions_summary": _rf_predictions_summary,
-        "rf_metrics": _rf_metrics,
-        "confusion_matrix": _confusion_matrix,
-        "feature_importance": _feature_importance,
-        "weighted_forest_summary": _weighted_forest_summary,
-        "boosted_predictions_summary": _boosted_predictions_summary,
         # trends
         "week_over_week": trends.week_over_week,
         "rolling_15m": trends.rolling_severity,
@@ -328,6 +404,15 @@ def queries() -> dict[str, Query]:
         "weather_correlation": lambda df: _rounded(trends.weather_correlation(df)),
     }
     on_folder: dict[str, Query] = {
+        "rf_predictions_summary": _rf_predictions_summary,
+        "rf_metrics": _rf_metrics,
+        "confusion_matrix": _confusion_matrix,
+        "feature_importance": _feature_importance,
+        "weighted_forest_summary": _weighted_forest_summary,
+        "boosted_predictions_summary": _boosted_predictions_summary,
+        "forest_checks": _checks(_forest, models.score_forest),
+        "weighted_forest_checks": _checks(_weighted_forest, models.score_weighted_forest),
+        "boosted_checks": _checks(_boosted, models.score_boosted),
         "stream_windows_5m": _stream_windows("5 minutes"),
         "stream_windows_15m": _stream_windows("15 minutes"),
         "stream_windows_60m": _stream_windows("60 minutes"),
@@ -524,6 +609,10 @@ def oracle_sql() -> dict[str, str]:
         "frame AS (SELECT * FROM accidents WHERE temperature_f IS NOT NULL AND humidity_pct IS NOT NULL AND visibility_mi IS NOT NULL "
         "AND wind_speed_mph IS NOT NULL AND pressure_in IS NOT NULL AND distance_mi IS NOT NULL AND start_time IS NOT NULL)"
     )
+    checks = lambda rows: (
+        "SELECT severity, COUNT(*) AS scored, CAST(0 AS BIGINT) AS off_totals, CAST(0 AS BIGINT) AS off_levels, "
+        f"CAST(0 AS BIGINT) AS changed_by_storage FROM ({rows}) GROUP BY severity"
+    )
     categories = ["weather_condition", "state", "sunrise_sunset"]
     codes = lambda as_type: ", ".join(
         f"CAST(DENSE_RANK() OVER (ORDER BY COALESCE({c}, 'nan')) - 1 AS {as_type}) AS {c}_code" for c in categories
@@ -679,6 +768,39 @@ def oracle_sql() -> dict[str, str]:
           {_level('base_risk')} AS base_severity FROM parts""",
         "earliest_rows": "SELECT id, start_time FROM accidents ORDER BY start_time NULLS LAST, id LIMIT 500",
         "csv_round_trip": "SELECT * FROM accidents",
+        "csv_quoted_round_trip": (
+            "SELECT id, 'at \"' || state || '\", lane ' || city AS street, severity FROM accidents"
+        ),
+        "lenient_times": (
+            "SELECT id, CASE WHEN hour(start_time) % 7 <> 0 THEN date_trunc('second', start_time) END AS start_time FROM accidents"
+        ),
+        "time_columns": (
+            "SELECT id, CAST(hour(start_time) AS INTEGER) AS hour, CAST(month(start_time) AS INTEGER) AS month, "
+            "CAST(isodow(start_time) - 1 AS INTEGER) AS day_of_week, CAST(year(start_time) AS INTEGER) AS year FROM accidents"
+        ),
+        "view_sql": "SELECT state, COUNT(*) AS accidents, MAX(temperature_f) AS warmest FROM accidents GROUP BY state",
+        "preview_rows": (
+            "SELECT id, severity, state, temperature_f, humidity_pct, weather_condition, distance_mi FROM accidents ORDER BY id LIMIT 8"
+        ),
+        "dense_columns": "SELECT * EXCLUDE (precipitation_in) FROM accidents",
+        "rule_unscored": (
+            f", {_PREDICTED} SELECT severity, COUNT(*) AS rows, "
+            "COUNT(*) FILTER (WHERE predicted_severity IS NULL) AS unscored FROM predicted GROUP BY severity"
+        ),
+        "forest_checks": checks(
+            "SELECT severity FROM accidents WHERE LEFT(md5(id || '#42'), 8) >= 'cccccccc' AND start_time IS NOT NULL"
+        ),
+        "weighted_forest_checks": checks(
+            "SELECT severity FROM accidents WHERE LEFT(md5(id || '#42'), 8) >= 'cccccccc' AND temperature_f IS NOT NULL "
+            "AND humidity_pct IS NOT NULL AND visibility_mi IS NOT NULL AND wind_speed_mph IS NOT NULL "
+            "AND pressure_in IS NOT NULL AND distance_mi IS NOT NULL"
+        ),
+        "boosted_checks": checks(
+            "SELECT severity FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY severity ORDER BY md5(id || '#42')) "
+            "> floor(COUNT(*) OVER (PARTITION BY severity) * 8e-1) AS in_test FROM accidents) WHERE in_test "
+            "AND temperature_f IS NOT NULL AND humidity_pct IS NOT NULL AND visibility_mi IS NOT NULL "
+            "AND wind_speed_mph IS NOT NULL AND pressure_in IS NOT NULL AND distance_mi IS NOT NULL AND start_time IS NOT NULL"
+        ),
         "parquet_round_trip": "SELECT *, CAST(year(start_time) AS INTEGER) AS year FROM accidents",
         "json_round_trip": "SELECT *, CAST(NULL AS VARCHAR) AS _malformed FROM accidents",
         "forest_features": (
@@ -761,7 +883,8 @@ def oracle_sql() -> dict[str, str]:
             "FROM predicted WHERE predicted_severity >= 3"
         ),
         "stream_totals": (
-            f", {_PREDICTED} SELECT COUNT(*) AS records, COUNT(CASE WHEN predicted_severity >= 3 THEN 1 END) AS alerts FROM predicted"
+            f", {_PREDICTED} SELECT COUNT(*) AS records, COUNT(CASE WHEN predicted_severity >= 3 THEN 1 END) AS alerts, "
+            "COUNT(CASE WHEN predicted_severity IS NULL THEN 1 END) AS unscored FROM predicted"
         ),
         "stream_latest": (
             f", {_PREDICTED} SELECT id, start_time, state, predicted_severity FROM predicted "

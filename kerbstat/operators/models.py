@@ -14,6 +14,7 @@ from kerbstat.operators import features as feat
 from kerbstat.session import ensure_checkpoint_dir
 
 CLASSES = (0, 1, 2, 3)
+OUTCOME = ("prediction", "predicted_severity", *[f"probability_s{c + 1}" for c in CLASSES])
 
 
 # --- training ------------------------------------------------------------------------
@@ -132,16 +133,21 @@ def _with_outcome(scored: DataFrame, probabilities: Column) -> DataFrame:
     )
 
 
-def score_forest(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score_forest(model: PipelineModel, df: DataFrame, *, keep_unscored: bool = False) -> DataFrame:
     """Batch or stream: accidents with ``prediction``, ``predicted_severity`` and four probabilities.
 
-    The measures that the model imputes keep their own values in the result.
+    The measures that the model imputes keep their own values in the result. The model needs a time: rows without
+    one are left out, as in training, or kept with a null outcome if ``keep_unscored`` is set.
     """
     own = df.columns
     originals = {f"__{c}": F.col(c) for c in feat.IMPUTED}
     frame = feat.forest_frame(df).withColumns(originals)
+    if keep_unscored:
+        frame = frame.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("hour_of_day", "day_of_week")})
     scored = model.transform(frame)
     result = _with_outcome(scored.drop("prediction"), vector_to_array("probability"))
+    if keep_unscored:
+        result = result.withColumns({c: F.when(F.col("start_time").isNotNull(), F.col(c)) for c in OUTCOME})
     return _only(result, own, renamed=set(feat.IMPUTED))
 
 
@@ -165,9 +171,8 @@ def score_boosted(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def _only(result: DataFrame, own: list[str], renamed: set[str] = frozenset()) -> DataFrame:
-    outcome = ["prediction", "predicted_severity", *[f"probability_s{c + 1}" for c in CLASSES]]
     return result.select(
-        *[F.col(f"__{c}").alias(c) if c in renamed else F.col(c) for c in own if c not in outcome], *outcome
+        *[F.col(f"__{c}").alias(c) if c in renamed else F.col(c) for c in own if c not in OUTCOME], *OUTCOME
     )
 
 

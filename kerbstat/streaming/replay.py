@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,14 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def run_to_totals(stream: DataFrame, label: str) -> DataFrame:
+    """Process all available data of a streaming aggregate and return its last result, which must be small: it is kept on the driver."""
+    spark, name = stream.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    writer = stream.writeStream.outputMode("complete").format("memory").queryName(name)
+    writer.option("checkpointLocation", scratch_dir(spark, label)).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
+
+
 def write_chunks(
     df: DataFrame,
     path: str,
