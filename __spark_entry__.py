@@ -293,6 +293,13 @@ def _stream_windows(width: str) -> Query:
     return run
 
 
+def _stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Worst accidents of the first time range come three ranges late, when their windows are closed."""
+    late = F.col("severity") == 4
+    events = replay.as_stream(driver_tables.accidents(spark, folder), end_marker={}, late=late)
+    return replay.run_to_table(windows.windowed_severity(alerts.scored(events), "15 minutes"), "late")
+
+
 def _stream_rolling_segments(spark: SparkSession, folder: str) -> DataFrame:
     events = replay.as_stream(driver_tables.accidents(spark, folder), end_marker={"street": "end of stream"})
     return replay.run_to_table(windows.rolling_segments(events), "segments")
@@ -420,6 +427,7 @@ def queries() -> dict[str, Query]:
         "stream_windows_5m": _stream_windows("5 minutes"),
         "stream_windows_15m": _stream_windows("15 minutes"),
         "stream_windows_60m": _stream_windows("60 minutes"),
+        "stream_late_rows": _stream_late_rows,
         "stream_rolling_segments": _stream_rolling_segments,
         "stream_csv_by_state": _stream_csv_by_state,
         "stream_alerts": _stream_alerts,
@@ -524,12 +532,17 @@ _CORRELATED = {
 _IMPUTED = ["temperature_f", "visibility_mi", "wind_speed_mph", "humidity_pct", "precipitation_in", "distance_mi"]
 
 
-def _windows_sql(minutes: int, with_alerts: bool = True) -> str:
+# Rows that come in time where the worst of the first quarter of the time span come after the third.
+_IN_TIME = """ AND NOT (severity = 4 AND epoch_us(start_time) < (
+    SELECT epoch_us(MIN(start_time)) + (epoch_us(MAX(start_time)) - epoch_us(MIN(start_time))) // 4 FROM predicted))"""
+
+
+def _windows_sql(minutes: int, with_alerts: bool = True, where: str = "") -> str:
     alert_count = (
         ", CAST(SUM(CASE WHEN predicted_severity >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS alert_count" if with_alerts else ""
     )
     return f"""{_PREDICTED}, timed AS (
-      SELECT *, time_bucket(INTERVAL {minutes} MINUTE, start_time) AS w FROM predicted WHERE start_time IS NOT NULL)
+      SELECT *, time_bucket(INTERVAL {minutes} MINUTE, start_time) AS w FROM predicted WHERE start_time IS NOT NULL{where})
      SELECT w AS window_start, w + INTERVAL {minutes} MINUTE AS window_end, state, COUNT(*) AS accidents,
       ROUND(AVG(severity), 3) AS avg_severity, {_SEVERE} AS severe_count{alert_count}
      FROM timed GROUP BY w, state"""
@@ -868,6 +881,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_windows_5m": f", {_windows_sql(5)}",
         "stream_windows_15m": f", {_windows_sql(15)}",
         "stream_windows_60m": f", {_windows_sql(60)}",
+        "stream_late_rows": f", {_windows_sql(15, where=_IN_TIME)}",
         "stream_rolling_segments": f""", starts AS (
            SELECT *, UNNEST([0, 5, 10]) AS back FROM accidents WHERE start_time IS NOT NULL AND street IS NOT NULL),
           windows AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, start_time) - to_minutes(back) AS w FROM starts)

@@ -1,15 +1,17 @@
-"""Jobs to submit: convert a CSV table, report on it, train a model, process the live stream.
+"""Jobs to submit: convert a CSV table, report on it, train a model, publish the table in order, process the live stream.
 
     zip -r kerbstat.zip kerbstat
     spark-submit --py-files kerbstat.zip kerbstat/jobs.py convert --input raw.csv --output accidents
     spark-submit --py-files kerbstat.zip kerbstat/jobs.py report  --input accidents --output report
-    spark-submit --py-files kerbstat.zip kerbstat/jobs.py train   --input accidents --output model
+    spark-submit --py-files kerbstat.zip kerbstat/jobs.py train   --input accidents --output model --kind forest
+    spark-submit --py-files kerbstat.zip kerbstat/jobs.py publish --input accidents --ranges 100 --pause 10
     spark-submit --py-files kerbstat.zip kerbstat/jobs.py stream  --model model --output live
 """
 
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from kerbstat.operators import evaluation, models, splits
 from kerbstat.operators.features import labelled
 from kerbstat.plans import analytics, profile, reshaped, trends
+from kerbstat.session import STATE_STORE
 from kerbstat.sources import files, messages
-from kerbstat.streaming import alerts, sinks, windows
+from kerbstat.streaming import alerts, replay, sinks, windows
 
 REPORT = {
     plan.__name__: plan
@@ -68,30 +71,76 @@ def report(spark: SparkSession, source: str, target: str) -> None:
         plan(table).write.mode("overwrite").parquet(f"{target}/{name}")
 
 
-def train(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Fit and store the forest; return its metrics on the rows it has not seen."""
-    training, test = splits.hash_split(files.read_parquet(spark, source))
-    model = models.train_forest(training)
+TRAINERS = {
+    "forest": (models.train_forest, models.score_forest),
+    "weighted": (models.train_weighted_forest, models.score_weighted_forest),
+    "boosted": (models.train_boosted, models.score_boosted),
+}
+
+
+def train(
+    spark: SparkSession, source: str, target: str, kind: str = "forest", partitions: int | None = None, **parameters
+) -> DataFrame:
+    """Fit and store a model, and under ``results`` beside it what the rows it has not seen say of it.
+
+    These are scored once; metrics, class report and confusion matrix come from their stored counts. The boosted
+    model has a split that is exact within each class. Returns the metrics. ``parameters`` are the trainer's.
+    """
+    fit, score = TRAINERS[kind]
+    table = files.read_parquet(spark, source)
+    if kind == "boosted":
+        training, test = splits.split_frames(splits.stratified_split(labelled(table)))
+        training = training.drop("label")
+    else:
+        training, test = splits.hash_split(table)
+        test = labelled(test)
+    model = fit(training, partitions=partitions, **parameters)
     models.save_model(model, target)
-    scored = models.score_forest(model, labelled(test))
-    return evaluation.overall_metrics(evaluation.confusion_counts(scored))
+    results = f"{target}/results"
+    evaluation.confusion_counts(score(model, test)).write.mode("overwrite").parquet(f"{results}/counts")
+    counts = spark.read.parquet(f"{results}/counts")
+    tables = {
+        "metrics": evaluation.overall_metrics(counts),
+        "class_report": evaluation.class_report(counts),
+        "confusion_matrix": evaluation.confusion_matrix(counts),
+        "importances": models.feature_importance(model),
+    }
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{results}/{name}")
+    return spark.read.parquet(f"{results}/metrics")
+
+
+def publish(spark: SparkSession, source: str, brokers: str, topic: str, ranges: int, pause: float = 0.0) -> None:
+    """Send the table to Kafka, one time range after the other, with ``pause`` seconds between them.
+
+    Rows of a range are sent in parallel. A reader whose watermark is no shorter than a range drops none.
+    """
+    table = files.read_parquet(spark, source)
+    for chunk in replay.in_ranges(table, replay.even_boundaries(table, ranges)):
+        messages.publish(chunk, brokers, topic=topic)
+        time.sleep(pause)
 
 
 def process(events: DataFrame, target: str, model=None, every: str | None = None) -> list[StreamingQuery]:
     """Start all outputs of an accident stream.
 
-    One query per window width, CSV files by state, and alert files. Checkpoints lie
-    beside the outputs, so a restarted job goes on where it stopped.
+    One query per window width, of which the widest also makes the CSV files by state, and one each for alert files,
+    running totals and the latest events. Checkpoints lie beside the outputs, so a restarted job goes on where it stopped.
     """
     scored = alerts.scored(events, model)
-    place = lambda name: {"path": f"{target}/{name}", "checkpoint": f"{target}/_checkpoints/{name}", "every": every}
+    beside = lambda name: {"checkpoint": f"{target}/_checkpoints/{name}", "every": every}
     started = []
-    for width in windows.WIDTHS:
-        name = "windows-" + width.replace(" ", "-")
-        started.append(sinks.write_parquet_stream(windows.windowed_severity(scored, width), **place(name)))
-    hourly = windows.windowed_severity(scored, windows.WIDTHS[-1])
-    started.append(sinks.write_csv_by_state(hourly, **place("by-state")))
-    started.append(sinks.write_alert_files(alerts.alerts(scored), **place("alerts")))
+    *narrow, widest = windows.WIDTHS
+    folder = lambda width: "windows-" + width.replace(" ", "-")
+    for width in narrow:
+        name = folder(width)
+        started.append(sinks.write_parquet_stream(windows.windowed_severity(scored, width), f"{target}/{name}", **beside(name)))
+    name, hourly = folder(widest), windows.windowed_severity(scored, widest)
+    started.append(sinks.write_parquet_and_csv(hourly, f"{target}/{name}", f"{target}/by-state", **beside(name)))
+    started.append(sinks.write_alert_files(alerts.alerts(scored), f"{target}/alerts", **beside("alerts")))
+    started.append(sinks.write_totals(alerts.running_totals(scored), f"{target}/totals", **beside("totals")))
+    brief = scored.select("id", "start_time", "state", "predicted_severity")
+    started.append(sinks.write_latest(brief, f"{target}/latest", alerts.latest_events, **beside("latest")))
     return started
 
 
@@ -115,19 +164,28 @@ def stream(
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("job", choices=["convert", "report", "train", "stream"])
+    parser.add_argument("job", choices=["convert", "report", "train", "publish", "stream"])
     parser.add_argument("--input")
-    parser.add_argument("--output", required=True)
+    parser.add_argument("--output", help="all jobs but publish need it")
     parser.add_argument("--model")
     parser.add_argument("--brokers", default=messages.BROKERS)
     parser.add_argument("--topic", default=messages.TOPIC)
     parser.add_argument("--max-offsets", type=int, help="records of a micro-batch at most")
+    parser.add_argument("--kind", choices=sorted(TRAINERS), default="forest", help="model to train")
+    parser.add_argument("--partitions", type=int, help="tasks that train")
+    parser.add_argument("--ranges", type=int, default=100, help="time ranges to publish one after the other")
+    parser.add_argument("--pause", type=float, default=0.0, help="seconds between ranges")
     args = parser.parse_args()
-    spark = SparkSession.builder.appName(f"kerbstat {args.job}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if args.output is None and args.job != "publish":
+        parser.error("--output is missing")
+    builder = SparkSession.builder.appName(f"kerbstat {args.job}").config(map=STATE_STORE)
+    spark = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.job == "stream":
         stream(spark, args.output, args.model, args.brokers, args.topic, args.max_offsets)
     elif args.job == "train":
-        train(spark, args.input, args.output).show()
+        train(spark, args.input, args.output, args.kind, args.partitions).show()
+    elif args.job == "publish":
+        publish(spark, args.input, args.brokers, args.topic, args.ranges, args.pause)
     else:
         {"convert": convert, "report": report}[args.job](spark, args.input, args.output)
 

@@ -8,11 +8,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Keeps the state of streams beside the heap.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
+
+
 def local_session(cores: int | str = "*", memory: str = "4g", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks on one machine. On a cluster, submit with its own settings."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("kerbstat")
+        .config(map=STATE_STORE)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,28 +16,61 @@ from kerbstat.streaming.sinks import write_parquet_stream
 
 # A time after any accident: the row that carries it moves the watermark past all windows.
 END_OF_STREAM = dt.datetime(9999, 1, 1)
+RANGE = "__range"
 VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
-def as_stream(table: DataFrame, end_marker: dict[str, str] | None = None) -> DataFrame:
-    """Store a table and read it back as a stream, all of it in one micro-batch.
+def even_boundaries(table: DataFrame, ranges: int) -> list[dt.datetime]:
+    """The inner edges of time ranges of equal length; none where no row has a time."""
+    low, high = table.agg(F.min("start_time"), F.max("start_time")).first()
+    return [] if low is None else [low + (high - low) * k // ranges for k in range(1, ranges)]
+
+
+def in_ranges(
+    table: DataFrame, boundaries: list[dt.datetime], late: Column | None = None, delay: int = 3
+) -> list[DataFrame]:
+    """The table by time range, oldest first; rows without a time come with the first.
+
+    The table is derived and read once, and stored in a folder per range, so that a range reads its own files only.
+    Rows for which ``late`` holds come ``delay`` ranges after their own, if there are so many.
+    """
+    steps = [(F.col("start_time") >= clock.moment(b)).cast("int") for b in boundaries]
+    own = F.coalesce(sum(steps, F.lit(0)), F.lit(0))
+    if late is not None:
+        own = F.when(late & (own + delay <= len(boundaries)), own + delay).otherwise(own)
+    spark, folder = table.sparkSession, scratch_dir(table.sparkSession, "ranges")
+    table.withColumn(RANGE, own).write.partitionBy(RANGE).parquet(folder)
+    stored = spark.read.schema(T.StructType([*table.schema, T.StructField(RANGE, T.IntegerType())])).parquet(folder)
+    return [stored.filter(F.col(RANGE) == k).drop(RANGE) for k in range(len(boundaries) + 1)]
+
+
+def as_stream(
+    table: DataFrame,
+    end_marker: dict[str, str] | None = None,
+    *,
+    ranges: int = 4,
+    files_per_range: int = 1,
+    late: Column | None = None,
+) -> DataFrame:
+    """Store a table and read it back as a stream, one time range per micro-batch, oldest first.
 
     What the table is derived by (joins with skewed keys above all) thus runs as a batch
-    job, which adaptive execution tunes; stateful streams run without it.
+    job, which adaptive execution tunes; stateful streams run without it. The watermark moves
+    on from range to range, so state holds the open windows only. More ``ranges`` make smaller micro-batches;
+    ``files_per_range`` is the number of tasks that read one, and no range may have fewer rows than that.
 
-    ``end_marker`` adds one row far in the future, so that the last windows close. The
+    ``end_marker`` adds one row far in the future, as the newest file, so that the last windows close. The
     marker's own window never closes and so never comes out. Its columns are null but for
-    the given ones, which let it pass the filters of a query. A stream of several
-    micro-batches needs the marker as its newest file, as ``write_chunks`` makes it.
+    the given ones, which let it pass the filters of a query. ``late`` is that of ``in_ranges``.
     """
-    spark = table.sparkSession
-    folder = scratch_dir(spark, "stream")
-    table.write.parquet(folder)
+    spark, folder = table.sparkSession, scratch_dir(table.sparkSession, "stream")
+    for chunk in in_ranges(table, even_boundaries(table, ranges), late):
+        chunk.repartition(files_per_range).write.mode("append").parquet(folder)
     if end_marker is not None:
         known = {"start_time": clock.moment(END_OF_STREAM), **{k: F.lit(v) for k, v in end_marker.items()}}
         columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]
         spark.range(0, 1, 1, 1).select(columns).write.mode("append").parquet(folder)
-    return spark.readStream.schema(table.schema).parquet(folder)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_range).parquet(folder)
 
 
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:
@@ -62,21 +95,14 @@ def write_chunks(
     files_per_chunk: int = 1,
     end_marker: bool = False,
 ) -> None:
-    """Store the dated rows as JSON messages, one job per time range, oldest first.
+    """Store the rows as JSON messages, one job per time range, oldest first; rows without a time come with the first.
 
     A file stream reads files in the order of their age. So a reader that takes
     ``files_per_chunk`` files per micro-batch releases one time range after the other.
     ``end_marker`` adds a last file whose one row closes all windows.
     """
-    edges = [None, *boundaries, None]
-    for low, high in zip(edges[:-1], edges[1:]):
-        chunk = df.filter(F.col("start_time").isNotNull())
-        if low is not None:
-            chunk = chunk.filter(F.col("start_time") >= clock.moment(low))
-        if high is not None:
-            chunk = chunk.filter(F.col("start_time") < clock.moment(high))
-        messages = to_messages(chunk).select("value").repartition(files_per_chunk)
-        messages.write.mode("append").text(path)
+    for chunk in in_ranges(df, boundaries):
+        to_messages(chunk).select("value").repartition(files_per_chunk).write.mode("append").text(path)
     if end_marker:
         write_end_marker(df.sparkSession, path)
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from kerbstat import jobs
 from kerbstat.operators import models
 from kerbstat.sources import files, messages
-from kerbstat.streaming import replay
+from kerbstat.streaming import alerts, replay, sinks
 
 
 def test_from_csv_to_alerts(spark, small, tmp_path):
@@ -23,13 +26,24 @@ def test_from_csv_to_alerts(spark, small, tmp_path):
 
     metrics = jobs.train(spark, at("table"), at("model")).first()
     assert metrics.accuracy > 0.8
+    results = lambda name: spark.read.parquet(f"{at('model')}/results/{name}")
+    assert results("importances").count() == 11
+    assert results("class_report").count() == 4 and results("confusion_matrix").count() == 4
 
     replay.write_chunks(small, at("topic"), [], end_marker=True)
     events = messages.parse_messages(replay.message_stream(spark, at("topic"))).drop(messages.MALFORMED)
     for query in jobs.process(events, at("live"), models.load_model(at("model"))):
         query.awaitTermination()
     outputs = {d for d in os.listdir(at("live")) if not d.startswith("_")}
-    assert outputs == {"windows-5-minutes", "windows-15-minutes", "windows-60-minutes", "by-state", "alerts"}
+    assert outputs == {"windows-5-minutes", "windows-15-minutes", "windows-60-minutes", "by-state", "alerts", "totals", "latest"}
+    totals = sinks.read_totals(spark, at("live") + "/totals").first()
+    undated = small.count() - small.filter("start_time IS NOT NULL").count()
+    # The end marker is a record; like the undated ones it has a row, and a time that the model can read.
+    assert (totals.records, totals.unscored) == (small.count() + 1, undated)
+    latest = sinks.read_latest(spark, at("live") + "/latest", alerts.latest_events).collect()
+    assert len(latest) == 12 and latest[0].start_time == replay.END_OF_STREAM
+    by_state = spark.read.option("header", True).csv(at("live") + "/by-state")
+    assert by_state.count() == spark.read.parquet(at("live") + "/windows-60-minutes").count() > 0
     assert spark.read.json(at("live") + "/alerts").filter("predicted_severity < 3").count() == 0
     # Rows come out once, except those in windows that the model cannot score: it skips none with a time.
     dated = small.filter("start_time IS NOT NULL").count()
@@ -43,3 +57,22 @@ def test_malformed_messages_are_kept(spark, small, tmp_path):
     parsed = messages.parse_messages(spark.readStream.text(str(tmp_path / "topic")))
     jobs.keep_malformed(parsed, str(tmp_path / "live")).awaitTermination()
     assert [r[0] for r in spark.read.parquet(str(tmp_path / "live" / "malformed")).collect()] == ["{no json"]
+
+
+@pytest.mark.parametrize("kind, parameters", [("weighted", {"trees": 3, "depth": 4}), ("boosted", {"rounds": 1, "depth": 2})])
+def test_other_models_train_and_report(spark, small, tmp_path, kind, parameters):
+    small.write.parquet(str(tmp_path / "table"))
+    metrics = jobs.train(spark, str(tmp_path / "table"), str(tmp_path / "model"), kind, partitions=2, **parameters)
+    assert 0 <= metrics.first().accuracy <= 1
+    for name in ("class_report", "confusion_matrix", "importances"):
+        assert spark.read.parquet(str(tmp_path / "model" / "results" / name)).count() > 0
+    assert models.load_model(str(tmp_path / "model")) is not None
+
+
+def test_publishing_goes_range_by_range(spark, small, tmp_path, monkeypatch):
+    small.write.parquet(str(tmp_path / "table"))
+    sent = []
+    monkeypatch.setattr(messages, "publish", lambda df, brokers, topic: sent.append(df.agg(F.min("start_time"), F.max("start_time"), F.count("*")).first()))
+    jobs.publish(spark, str(tmp_path / "table"), "nowhere:1", "topic", ranges=5)
+    assert len(sent) == 5 and sum(s[2] for s in sent) == small.count()
+    assert all(a[1] < b[0] for a, b in zip(sent, sent[1:]))

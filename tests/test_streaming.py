@@ -77,6 +77,53 @@ def test_restart_from_a_checkpoint_reads_nothing_twice(spark, small, tmp_path):
     assert spark.read.parquet(out).count() == small.filter("start_time IS NOT NULL").count()
 
 
+def test_state_shrinks_from_range_to_range(spark, small, tmp_path):
+    events = replay.as_stream(small, end_marker={})
+    query = sinks.write_parquet_stream(windows.windowed_severity(events, "60 minutes"), str(tmp_path / "out"))
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    windows_in_all = windows.windowed_severity(small, "60 minutes").count()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 5
+    assert max(held) < windows_in_all / 2 and held[-1] == 1  # the end marker's
+
+
+def test_ranges_hold_every_row_once(spark, make):
+    day = lambda d: dt.datetime(2024, 1, d)
+    table = make([{"id": str(i), "severity": i % 4, "start_time": t} for i, t in enumerate([day(1), day(2), day(3), day(9), None, day(9)])])
+    chunks = replay.in_ranges(table, replay.even_boundaries(table, 4))
+    assert [sorted(r.id for r in c.collect()) for c in chunks] == [["0", "1", "4"], ["2"], [], ["3", "5"]]
+    held_back = replay.in_ranges(table, replay.even_boundaries(table, 4), late=F.col("id").isin("0", "2"))
+    assert [sorted(r.id for r in c.collect()) for c in held_back] == [["1", "4"], ["2"], [], ["0", "3", "5"]]
+    assert replay.even_boundaries(table.filter("id = '4'"), 4) == []
+
+
+def test_a_repeated_batch_changes_nothing(spark, small, tmp_path):
+    """Sinks that replace their result give the same when a batch comes again."""
+    path, seen = str(tmp_path / "latest"), []
+    brief = alerts.scored(replay.as_stream(small)).select("id", "start_time", "state", "predicted_severity")
+
+    class Twice:
+        def __init__(self, writer):
+            self.writer = writer
+
+        def foreachBatch(self, write):
+            def twice(batch, number):
+                write(batch, number)
+                write(batch, number)
+                seen.append(number)
+
+            return self.writer.foreachBatch(twice)
+
+    class Stream:
+        def __init__(self, df):
+            self.sparkSession, self.writeStream = df.sparkSession, Twice(df.writeStream)
+
+    sinks.write_latest(Stream(brief), path, alerts.latest_events).awaitTermination()
+    assert seen == [0, 1, 2, 3]
+    wanted = alerts.latest_events(alerts.scored(small).select(*brief.columns)).collect()
+    assert sinks.read_latest(spark, path, alerts.latest_events).collect() == wanted
+
+
 def test_alerts_and_threshold(spark, small):
     scored = alerts.scored(small)
     for threshold in (1, 2, 3, 4):
