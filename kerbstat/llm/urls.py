@@ -101,14 +101,14 @@ def ship(spark, raw: bytes) -> str:
     """Store an array in the shared folder and let Spark bring it to every executor; returns the file's name."""
     name = f"digests-{uuid.uuid4().hex}.bin"
     folder = scratch_dir(spark, "digests")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(f"{folder}/{name}")
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = system.create(target)
     try:
         stream.write(bytearray(raw))
     finally:
         stream.close()
-    spark.sparkContext.addFile(target.toString() if "://" in folder or folder.startswith("file:") else f"file://{target}")
+    spark.sparkContext.addFile(system.makeQualified(target).toString())  # with the scheme of the file system it lies in
     return name
 
 
