@@ -15,6 +15,7 @@ SHORT_DAY_NAMES = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")
 TIME_BANDS = {"Morning Rush": (6, 9), "Midday": (10, 15), "Evening Rush": (16, 19)}
 NIGHT = "Night"
 RUSH_HOURS = ((7, 9), (16, 18))
+RUSH, OFF_PEAK = "Rush Hour", "Off Peak"
 
 
 def moment(time: dt.datetime) -> Column:
@@ -74,7 +75,7 @@ def rush_period(time: Column) -> Column:
     """Rush Hour or Off Peak; a null time falls to Off Peak."""
     hour = F.hour(time)
     (a, b), (c, d) = RUSH_HOURS
-    return F.when(hour.between(a, b) | hour.between(c, d), F.lit("Rush Hour")).otherwise(F.lit("Off Peak"))
+    return F.when(hour.between(a, b) | hour.between(c, d), F.lit(RUSH)).otherwise(F.lit(OFF_PEAK))
 
 
 def epoch_seconds(time: Column) -> Column:

@@ -24,12 +24,17 @@ SEVERITY_RESPONSES = {
 }
 
 
+# Road types by junction and traffic signal.
+JUNCTION, NO_JUNCTION = "Junction", "No Junction"
+SIGNAL, NO_SIGNAL = "Signal", "No Signal"
+
+
 def road_type(junction: Column, traffic_signal: Column) -> Column:
     """``Junction + No Signal`` and so on; a null flag reads as absent."""
     return F.concat(
-        F.when(junction, F.lit("Junction")).otherwise(F.lit("No Junction")),
+        F.when(junction, F.lit(JUNCTION)).otherwise(F.lit(NO_JUNCTION)),
         F.lit(" + "),
-        F.when(traffic_signal, F.lit("Signal")).otherwise(F.lit("No Signal")),
+        F.when(traffic_signal, F.lit(SIGNAL)).otherwise(F.lit(NO_SIGNAL)),
     )
 
 

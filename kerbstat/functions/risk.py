@@ -22,6 +22,9 @@ WEATHER_SEVERITY_CUTS = (2.5, 2.2)
 STATE_SEVERITY_CUTS = (2.4, 2.3)
 BANDS = ("high", "medium", "low")
 
+# Probability of each level before they are normalised, as (at no risk, change per unit of risk).
+PROBABILITIES = ((0.1, -0.05), (0.5, -0.2), (0.3, 0.1), (0.1, 0.1))
+
 
 def risk_band(value: Column, cuts: Sequence[float], strict: bool = False) -> Column:
     """high / medium / low by two descending cut points; ``strict`` excludes the cut itself."""
@@ -66,12 +69,7 @@ def rule_severity(risk: Column) -> Column:
 
 def rule_probabilities(risk: Column) -> list[Column]:
     """Four class probabilities of a risk, normalised to sum to 1."""
-    first = F.lit(0.1) - risk * 0.05
-    parts = [
-        F.when(first < 0, F.lit(0.0)).otherwise(first),
-        F.lit(0.5) - risk * 0.2,
-        F.lit(0.3) + risk * 0.1,
-        risk * 0.1 + F.lit(0.1),
-    ]
+    first, *others = [F.lit(base) + risk * change for base, change in PROBABILITIES]
+    parts = [F.when(first < 0, F.lit(0.0)).otherwise(first), *others]
     total = parts[0] + parts[1] + parts[2] + parts[3]
     return [p / total for p in parts]

@@ -16,15 +16,20 @@ def confusion_counts(scored: DataFrame, label: str = "label", prediction: str =
 
 
 def confusion_matrix(counts: DataFrame) -> DataFrame:
-    """One row per true class and one column per predicted class; pairs that never occur are 0."""
+    """One row per true class and one column per predicted class; pairs that never occur are 0.
+
+    Rows without a prediction, or with one that is no class, are counted as ``predicted_other``, and a label that is no
+    class has a row of its own, so that all rows are counted once.
+    """
     hits = lambda c: F.coalesce(F.sum(F.when(F.col("prediction") == c, F.col("count"))), F.lit(0))
+    known = F.coalesce(F.col("prediction").isin(*CLASSES), F.lit(False))
+    other = F.coalesce(F.sum(F.when(~known, F.col("count"))), F.lit(0))
     classes = counts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in CLASSES])).alias("label"))
     none = classes.select("label", F.lit(None).cast("int").alias("prediction"), F.lit(0).cast("bigint").alias("count"))
     return (
         counts.unionByName(none)
-        .filter(F.col("label").isin(*CLASSES))
         .groupBy("label")
-        .agg(*[hits(c).alias(f"predicted_{c}") for c in CLASSES])
+        .agg(*[hits(c).alias(f"predicted_{c}") for c in CLASSES], other.alias("predicted_other"))
         .orderBy("label")
     )
 

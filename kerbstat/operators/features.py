@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from kerbstat.functions import clock, flags
 from kerbstat.operators.grouping import over_groups
 
+# Inputs of the three published models.
 IMPUTED = (
     "temperature_f",
     "visibility_mi",

@@ -16,20 +16,19 @@ BAND_ORDER = tuple(sorted([*clock.TIME_BANDS, clock.NIGHT]))
 def heatmap_pivot(df: DataFrame) -> DataFrame:
     """Mean severity with one row per weekday, Monday first, and one column per hour.
 
-    All seven days are present, as are all 24 hours; a pair without accidents is null.
+    All seven days are present, as are all 24 hours; a pair without accidents is null. A row without an hour
+    for each day joins the rows, so that no table need be joined.
     """
-    time = F.col(TIME)
-    wide = (
-        df.withColumn("__hour", clock.hour_of_day(time))
-        .groupBy(clock.weekday_name(time, short=True).alias("day_of_week"))
-        .pivot("__hour", list(range(24)))
-        .agg(mean_severity())
+    time, week = F.col(TIME), F.array(*[F.lit(d) for d in WEEK_FROM_MONDAY])
+    hours = df.filter(time.isNotNull()).select(
+        clock.weekday_name(time, short=True).alias("day_of_week"), clock.hour_of_day(time).alias("__hour"), "severity"
     )
-    wide = wide.select("day_of_week", *[F.col(f"`{h}`").alias(f"h{h:02d}") for h in range(24)])
-    week = df.sparkSession.range(1).select(
-        F.posexplode(F.array(*[F.lit(d) for d in WEEK_FROM_MONDAY])).alias("day_order", "day_of_week")
+    none = df.sparkSession.range(1).select(
+        F.explode(week).alias("day_of_week"), F.lit(None).cast("int").alias("__hour"), F.lit(None).cast("int").alias("severity")
     )
-    return week.join(wide, "day_of_week", "left").select("day_order", *wide.columns).orderBy("day_order")
+    wide = hours.unionByName(none).groupBy("day_of_week").pivot("__hour", list(range(24))).agg(mean_severity())
+    order = (F.array_position(week, F.col("day_of_week")) - 1).cast("int").alias("day_order")
+    return wide.select(order, "day_of_week", *[F.col(f"`{h}`").alias(f"h{h:02d}") for h in range(24)]).orderBy("day_order")
 
 
 def compound_pivot(df: DataFrame, *, min_count: int = 200) -> DataFrame:

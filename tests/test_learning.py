@@ -194,7 +194,15 @@ def test_class_never_predicted_has_zero_ratios(spark):
     assert (report[0].precision, report[0].recall, report[0].f1, report[0].support) == (0.0, 0.0, 0.0, 2)
     assert report[2].precision == 1.0 and report[2].recall == 0.5
     matrix = [tuple(r) for r in evaluation.confusion_matrix(counts).collect()]
-    assert matrix == [(0, 0, 2, 0, 0), (1, 0, 1, 0, 0), (2, 0, 1, 1, 0), (3, 0, 0, 0, 0)]
+    assert matrix == [(0, 0, 2, 0, 0, 0), (1, 0, 1, 0, 0, 0), (2, 0, 1, 1, 0, 0), (3, 0, 0, 0, 0, 0)]
+
+
+def test_confusion_matrix_counts_every_row(spark):
+    pairs = [(0.0, None), (0.0, 7.0), (5.0, 1.0), (None, None), (1.0, 1.0)]
+    counts = evaluation.confusion_counts(spark.createDataFrame(pairs, "label double, prediction double"))
+    matrix = {r[0]: tuple(r)[1:] for r in evaluation.confusion_matrix(counts).collect()}
+    assert (matrix[0], matrix[5], matrix[None]) == ((0, 0, 0, 0, 2), (0, 1, 0, 0, 0), (0, 0, 0, 0, 1))
+    assert sum(map(sum, matrix.values())) == len(pairs)
 
 
 def test_rule_probabilities_sum_to_one(accidents):
