@@ -2,8 +2,8 @@
 
 Base: places where a phrase's words stand consecutively, counted in words. Method: some hundreds of rules, each a regex with a
 label, a level (0 identifiers, 1 notices and full names, 2 mentions) and a keyword. A text is looked at only
-if it holds one of the few gate words; a rule runs only if the text holds its keyword. Detections are
-intervals of the normal form (lower case, words between single blanks). A detection is suppressed if one
+if it holds one of the gate words, of which every rule needs one; a rule runs only if the text holds its keyword, which it needs
+too. Detections are intervals of the normal form (lower case, words between single blanks). A detection is suppressed if one
 of the same or a better level contains it; of equal intervals the first rule stays. Base labels always stay.
 
 Null and empty texts have no words and no labels, score 0. Repeated rows get equal results. The score is the best
@@ -12,6 +12,9 @@ remaining level's weight, 0 without labels.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,18 +119,19 @@ SINGLE: list[tuple[str, int, str, str]] = [
     ("spdx", 2, "spdx", "spdx license identifier [^ ]+"),
     ("creative-commons", 2, "creative", "(?:a )?creative commons licen[cs]e"),
     ("open-source", 2, "open", "open source licen[cs]e"),
-    ("see-license", 2, "license", "see (?:the )?licen[cs]e(?: file)? for details"),
+    ("see-license", 2, "details", "see (?:the )?licen[cs]e(?: file)? for details"),
 ]
 
-GATES = ("licen", "spdx", "copyright", "apache", "gpl", "domain", "creative", "commons", "gnu", "bsd", "mozilla", "reserved",
+USUAL = ("licen", "spdx", "copyright", "apache", "gpl", "domain", "creative", "commons", "gnu", "bsd", "mozilla", "reserved",
          "permission", "redistribution", "proprietary", "unauthorized", "cc0", "cc", "mit", "advertising", "endorse",
-         "affero", "font", "wtfpl", "boost", "eclipse", "warranty")
+         "affero", "font", "wtfpl", "boost", "eclipse", "warranty", "fuck")
 
 
 def rules() -> list[tuple[str, int, str, str]]:
     """All rules in order: ``(label, level, keyword, regex)``; a family makes a rule per name, version and form."""
     made = []
     for label, names, keyword, shorts, versions in FAMILIES:
+        key = lambda name, keyword=keyword: keyword if keyword in name else max(name.split(" "), key=len)
         for version in versions:
             tidy = label + "-" + version.replace(" 0", "").replace(" ", ".")
             for short in shorts:
@@ -136,15 +140,41 @@ def rules() -> list[tuple[str, int, str, str]]:
                 if " " not in version and short in ("gpl", "lgpl", "agpl"):
                     made.append((tidy, 0, short, f"{short}v{version}(?: or later)?"))
             for name in names:
-                made.append((tidy, 1, keyword, f"(?:{VERBS} under )?(?:the )?{name} (?:v |version )?{version}(?: only| or later)?"))
+                made.append((tidy, 1, key(name), f"(?:{VERBS} under )?(?:the )?{name} (?:v |version )?{version}(?: only| or later)?"))
         for short in shorts:
             made.append((label, 0, "spdx", f"spdx license identifier {short}"))
         for name in names:
-            made.append((label, 1, keyword, f"{VERBS} under (?:the )?{name}"))
-            made.append((label, 2, keyword, f"(?:the )?{name}"))
+            made.append((label, 1, key(name), f"{VERBS} under (?:the )?{name}"))
+            made.append((label, 2, key(name), f"(?:the )?{name}"))
     return made + SINGLE
 
 
+def required(regex: str) -> list[str]:
+    """What a match of the regex holds, for each choice among its alternatives: ``#`` stands for optional groups and
+    letters and for classes, all else is literal.
+    """
+    regex = re.sub(r"\(\?:[^()]*\)(?:\?|\{0,\d+\})", "#", regex)
+    group = re.search(r"\(\?:([^()]*)\)", regex)
+    if group:
+        return [form for one in group[1].split("|") for form in required(regex[: group.start()] + one + regex[group.end() :])]
+    return [re.sub(r"\[[^\]]*\]\+?|.\?", "#", regex)]
+
+
+def rare_words() -> tuple[str, ...]:
+    """The longest whole word of each form of a rule or base phrase that holds none of the usual parts."""
+    words = []
+    for regex in [*BASE, *(regex for *_, regex in rules())]:
+        for form in required(regex):
+            whole = [word for word in form.split(" ") if word.isalnum()]
+            if not any(part in form for part in USUAL) and not set(whole) & set(words):
+                words.append(max(whole, key=len))
+    return tuple(words)
+
+
+RARE = rare_words()
+GATES = USUAL + RARE  # every match of every rule and base phrase holds one
+
+
 def phrase_counts(norm: Column, words: Column, phrase: str) -> Column:
     """``n, first, last`` of a phrase's places: number, smallest and largest start in words.
 
@@ -170,9 +200,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             for i, (label, level, key, regex) in enumerate(table)
         ]
     )
-    gate = F.lit(False)
-    for word in GATES:
-        gate = gate | F.contains(F.lower(text), F.lit(word))
+    holds = lambda words: reduce(lambda a, b: a | b, [F.contains(F.lower(text), F.lit(word)) for word in words])
+    edge = SEPARATORS.removesuffix("+")
+    gate = holds(USUAL) | (holds(RARE) & F.rlike(F.lower(text), F.lit(f"(?:^|{edge})(?:{'|'.join(RARE)})(?:{edge}|\\z)")))
     plain = F.concat(F.lit(" "), F.translate(F.regexp_replace(text, SEPARATORS, " "), ASCII_UPPER, ASCII_LOWER), F.lit(" "))
     source = docs.select(
         docs[id_col].alias("doc_id"),

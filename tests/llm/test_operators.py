@@ -127,6 +127,27 @@ def test_license_detections_against_brute_force(spark):
     assert found[1].labels == "gpl-2,gpl-3" and found[4].n_base == 400
 
 
+def test_license_gate_and_keywords_are_needed_by_every_rule(spark):
+    """Each rule, run without gate or keyword over texts made from every rule's own words and nothing else."""
+    rules, texts = licenses.rules(), ["Dual use: MPL-2.0 or EPL-2.0", "Just do it. You just do WHAT THE FUCK you want to", "GNU AGPL", "See licence for details", "oslo 3.0 osl"]
+    for _, _, key, regex in rules:
+        forms = licenses.required(regex)
+        assert all(key in form and any(g in form for g in licenses.GATES) for form in forms), regex
+        texts += [form.replace("licen#e", "licence").replace("#", "").upper() for form in forms]
+    texts += [f"{word}\n3.0" for word in licenses.RARE] + [f"3;0 {word}" for word in licenses.RARE]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: set(filter(None, r.labels.split(","))) for r in licenses.scan(docs).collect()}
+    for i, text in enumerate(texts):
+        norm = " " + re.sub("[^a-z0-9\x80-\U0010ffff]+", " ", text.lower()).strip() + " "
+        hits = []
+        for n, (label, level, _, regex) in enumerate(rules):
+            hits += [(m.start(), m.end(), level, n, label) for m in re.finditer(f" {regex}(?= )", norm)]
+        rank = lambda d: (d[1] - d[0], -d[2], -d[3])
+        kept = [d for d in hits if not any(o[0] <= d[0] and o[1] >= d[1] and o[2] <= d[2] and rank(o) > rank(d) for o in hits)]
+        assert found[i] >= {d[4] for d in kept} and (found[i] or not hits), text
+    assert (found[0], found[1], found[2], found[3], found[4]) == ({"mpl-2", "epl-2"}, {"wtfpl"}, {"agpl"}, {"see-license"}, set())
+
+
 @pytest.mark.parametrize("length", [1, 7, 32])
 def test_best_fit_decreasing(length):
     rng = random.Random(length)
