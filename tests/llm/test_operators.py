@@ -300,6 +300,30 @@ def test_leaks_within_and_beyond_the_edit_budget():
         assert not decontaminate.leaks(index, [decontaminate.normal(text(60) + edited(item, len(item) // 4) + text(9))])
 
 
+def test_passages_cut_anywhere_and_replaced_words():
+    """Every passage of the promised length at every offset, and whole items with one word replaced by another."""
+    rng = random.Random(8)
+    text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(n))
+    around = lambda s: decontaminate.normal(text(30)) + b"q" + s + b"q" + decontaminate.normal(text(30))
+    least = decontaminate.SHORT + decontaminate.STEP - 1
+    for words in (15, 25, 60):
+        item = decontaminate.normal(text(words))
+        index = decontaminate.build([("other", text(40)), ("this", item.decode())])
+        lines = [around(item[s : s + least]) for s in range(max(1, len(item) - least + 1))]
+        found = decontaminate.leaks(index, lines + [around(b"")])
+        assert {r[0] for r in found} == set(range(len(lines))) and {index.items[r[1]] for r in found} == {"this"}
+        assert {r[0] for r in found if r[2] == 0} == set(range(len(lines)))
+    for n in (40, 60, 80, 100, 120, 148):
+        words = decontaminate.normal(text(50))[:n].strip().split(b" ")
+        index = decontaminate.build([(1, b" ".join(words).decode())])
+        lines = []
+        for i in range(len(words)):
+            lines.append(around(b" ".join([*words[:i], b"z" * 8, *words[i + 1 :]])))
+        assert {r[0] for r in decontaminate.leaks(index, lines)} == set(range(len(lines))), n
+    random_lines = [decontaminate.normal(text(400)) for _ in range(20)]
+    assert not decontaminate.leaks(index, random_lines)
+
+
 def test_band_alignment_is_edit_distance():
     rng = random.Random(2)
 
