@@ -32,7 +32,13 @@ PART_ROWS, BLOCK_QUERIES = 4096, 2048
 STEPS = 15  # of k-means
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, which changes no digit, so that lengths neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))[1])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -65,17 +71,19 @@ class Tree:
                 todo += self.children[at]
         return self.leaf[node]
 
-    def visit(self, query: np.ndarray, most: int) -> list[int]:
-        """Leaves in best-bin-first order."""
+    def visit(self, query: np.ndarray, most: int, sizes: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """``most`` leaves in best-bin-first order, and more until those visited hold ``least`` vectors."""
+        held = 0
         near = -(self.centres @ query)
         queue, out = [(near[0], 0)], []
-        while queue and len(out) < most:
+        while queue and (len(out) < most or held < least):
             _, at = heapq.heappop(queue)
             if self.children[at]:
                 for child in self.children[at]:
                     heapq.heappush(queue, (near[child], child))
             else:
                 out.append(int(self.leaf[at]))
+                held += sizes.get(out[-1], 0) if sizes else 0
         return out
 
 
@@ -126,6 +134,7 @@ def rank_found(found: DataFrame, key: str, most: int) -> DataFrame:
 
 def scored(queries: np.ndarray, keys: np.ndarray, x: np.ndarray, ids: list, most: int) -> pd.DataFrame:
     """The ``most`` best (query, id, score) rows of one block; every vector brings its few smallest ids."""
+    queries, x = scaled(queries), scaled(x)
     cos = (queries @ x.T) / np.linalg.norm(queries, axis=1)[:, None] / np.linalg.norm(x, axis=1)[None, :]
     few = min(most, cos.shape[1])
     cut = np.partition(cos, cos.shape[1] - few, axis=1)[:, cos.shape[1] - few]
@@ -181,7 +190,7 @@ def search(
             out = []
             for key, vector in zip(batch["key"], batch["vector"]):
                 q = np.asarray(vector, np.float64)
-                for leaf in tree.value.visit(q / np.linalg.norm(q), visits):
+                for leaf in tree.value.visit(unit(q[None])[0], visits, sizes, k + 1):
                     out += [(key, vector, leaf, p) for p in range(parts.get(leaf, 0))]
             yield pd.DataFrame(out, columns=["key", "vector", "leaf", "part"])
 
@@ -220,7 +229,7 @@ def calibrate(placed: DataFrame, keyed: DataFrame, tree, k: int, target: float)
                 yield out.assign(leaf=batch["leaf"].to_numpy()[out["at"]])[["key", "vec_id", "score", "leaf"]]
 
     truth = rank_found(placed.mapInPandas(brute, FOUND + ", leaf int"), "key", k + 1).toPandas()
-    order = {key: tree.value.visit(q / np.linalg.norm(q), tree.value.leaves) for key, q in zip(keys, queries)}
+    order = {key: tree.value.visit(unit(q[None])[0], tree.value.leaves) for key, q in zip(keys, queries)}
     truth = truth[truth["vec_id"] != truth["key"]].sort_values(["key", "rank"]).groupby("key").head(k)
     depth = np.array([order[key].index(leaf) + 1 for key, leaf in zip(truth["key"], truth["leaf"])])
     visits, most = 1, tree.value.leaves

@@ -7,38 +7,65 @@ left thus needs one back pointer per position. A token that ends beyond the curr
 position starts at most ``lookahead`` symbols before it (one less than the longest
 token of the merge list); once the back pointers of those positions have met, everything before
 the meeting point is stable and is emitted. The window between that point and the
-current position is all that is kept. Short words are remembered in a bounded table.
+current position is all that is kept. The ids of frequent words are remembered in a small table; every word that is not in it
+goes through the transducer, and a long one's ids leave it some thousand at a time.
 
 Decoding. Ids go through a state machine that holds at most the bytes of one unfinished character.
 
 Text is read in slices that end at white space. Null text counts as empty: no tokens.
-Repeated rows give repeated results. Letters are those of the Unicode tables at hand, which may be newer than
-the library's by a few code points.
+Repeated rows give repeated results. Letters, digits and lower case are the library's, whichever
+version of Unicode Python and the pattern engine have.
 """
 
 from __future__ import annotations
 
 import codecs
 import hashlib
+import itertools
 import json
 import re
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from kerbstat.llm.common import texts
+from kerbstat.llm.common import beside_ids, in_parts, texts
 
 SLICE = 1 << 16  # characters
-REMEMBERED = 400_000  # words per task
-SHORT = 48  # characters of a word that is remembered
+REMEMBERED = 300_000  # words, and pairs of tokens, per task
+INNER, FINAL = 0, 1
+KEPT_IDS = 16  # of a word that is remembered
+OUT_IDS = 4_096  # of a long word that leave the transducer together
+OUT_BYTES = 4_000_000  # of ids in a batch of results
 WHITE = "\t-\r \x85\xa0  -     　"
 # The word pattern that the tokenizer file declares, for ASCII and for all text.
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^" + WHITE + r"a-z0-9]+")
-ALL_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + WHITE + r"\p{L}\p{N}]+")
+ALL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}--[NEW]]+|[\p{N}--[NEW]]|[[^" + WHITE + r"\p{L}\p{N}]||[NEW]]+"
+# First and last of the runs of letters and digits that Unicode 16 added, and the small forms of capitals that 16 and 17 added.
+ADDED = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x116D0, 0x116E3), (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139), (0x16D40, 0x16D6C),
+    (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA),
+]
+ADDED_CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+ADDED_CAPITALS |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+
+
+def word_pattern() -> regex.Pattern:
+    """The word pattern for all text. Code points that Python's tables, which are no newer, leave unassigned and Unicode 16 did not add are
+    taken out of the engine's classes.
+    """
+    points = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    newer = {ord(c) for c in regex.findall(r"[\p{L}\p{N}]", points) if unicodedata.category(c) == "Cn"}
+    newer -= {c for a, b in ADDED for c in range(a, b + 1)}
+    starts = sorted(c for c in newer if c - 1 not in newer)
+    ends = sorted(c for c in newer if c + 1 not in newer)
+    runs = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+    return regex.compile(ALL_WORDS.replace("NEW", runs or r"\U0010ffff"), regex.V1)
 
 
 def byte_alphabet() -> list[str]:
@@ -75,7 +102,15 @@ class Encoder:
         self.edges: dict[tuple[str, int], list[tuple[str, int, int]]] = {}
         self.alone: dict[str, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
-        self.prefixes: dict[str, str] = {}
+        self.all_words: regex.Pattern | None = None
+        # Tokens by their symbols; INNER and FINAL lead to the token that ends there, within a word and at its end.
+        self.root: dict = {}
+        for token in self.vocab:
+            node, final = self.root, bool(self.end) and token.endswith(self.end)
+            for symbol in token.removesuffix(self.end):
+                node = node.setdefault(symbol, {})
+            for kind in (FINAL,) if final else (INNER,) if self.end else (INNER, FINAL):
+                node[kind] = token
         marks = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(marks) + ")") if marks else None
 
@@ -139,22 +174,30 @@ class Encoder:
 
     def stable(self, symbols: str) -> Iterator[int]:
         """Ids of a word given by its symbols, each as soon as no further symbol can change it."""
-        reach, size = self.lookahead + 1, len(symbols)
-        vocab, follows, is_token = self.vocab, self.follows, self.is_token
-        last: dict[int, str] = {0: ""}  # by end position, inside the window only
-        done = 0
-        for i in range(1, size + 1):
-            tail = self.end if i == size else ""
-            for start in range(max(done, i - reach), i):
-                piece = symbols[start:i] + tail
-                if piece in vocab and is_token(piece) and (before := last.get(start)) is not None:
-                    if not before or follows(before, piece):
-                        last[i] = piece
-                        break
-            if i - done >= 4 * reach and i < size:
+        limit, size = 4 * (self.lookahead + 1), len(symbols)
+        root, agree, follows, alone, is_token = self.root, self.agree, self.follows, self.alone, self.is_token
+        last: dict[int, str | None] = {0: ""}  # by end position, inside the window only
+        done, begun, i, kind = 0, [], 0, INNER  # begun: tokens that are not over yet, the longest first
+        for symbol in symbols:
+            i += 1
+            if i == size:
+                kind = FINAL
+            begun.append((i - 1, root))
+            still, found = [], None
+            for start, node in begun:
+                node = node.get(symbol)
+                if node is None:
+                    continue
+                still.append((start, node))
+                if found is None and (piece := node.get(kind)) is not None and (before := last[start]) is not None:
+                    if (alone.get(piece) or is_token(piece)) and (not before or agree.get((before, piece)) or follows(before, piece)):
+                        found = piece
+            last[i], begun = found, still
+            if i - done >= limit and i < size:
                 at = self.meeting(last, i)
                 yield from self.between(last, done, at)
                 last, done = {p: t for p, t in last.items() if p >= at}, at
+                begun = [b for b in begun if b[0] >= at]
         yield from self.between(last, done, size)
 
     def width(self, token: str) -> int:
@@ -162,7 +205,7 @@ class Encoder:
 
     def meeting(self, last: dict[int, str], i: int) -> int:
         """Where the back pointers of all positions from which a later token may start meet."""
-        front = {p for p in range(i - self.lookahead, i + 1) if p in last}
+        front = {p for p in range(i - self.lookahead, i + 1) if last.get(p) is not None}
         while len(front) > 1:
             p = max(front)
             front.remove(p)
@@ -176,33 +219,10 @@ class Encoder:
             at -= self.width(last[at])
         return back[::-1]
 
-    def last_of(self, prefix: str, tail: str = "") -> str:
-        """The last token of a short prefix, or with ``tail`` of a whole word; prefixes are remembered."""
-        known = None if tail else self.prefixes.get(prefix)
-        if known is None:
-            vocab, alone = self.vocab, self.alone
-            for start in range(max(0, len(prefix) - self.lookahead - 1), len(prefix)):
-                piece = prefix[start:] + tail
-                if piece in vocab and (alone.get(piece) or self.is_token(piece)):
-                    if not start or self.follows(self.last_of(prefix[:start]), piece):
-                        known = piece
-                        break
-            if not tail:
-                if len(self.prefixes) >= REMEMBERED:
-                    self.prefixes.clear()
-                self.prefixes[prefix] = known
-        return known
-
-    def word(self, word: str) -> tuple[int, ...]:
-        symbols = "".join(map(self.symbol.__getitem__, word.encode("utf-8")))
-        if len(symbols) > SHORT:
-            return tuple(self.stable(symbols))
-        back, tail = [], self.end
-        while symbols:
-            token = self.last_of(symbols, tail)
-            back.append(self.vocab[token])
-            symbols, tail = symbols[: len(symbols) - self.width(token)], ""
-        return tuple(back[::-1])
+    def word(self, word: str) -> Iterator[int]:
+        """Ids of a word, through the transducer."""
+        plain = word.isascii() and word.isalnum()  # such bytes are their own symbols
+        return self.stable(word if plain else "".join(map(self.symbol.__getitem__, word.encode("utf-8"))))
 
     # --- whole texts ---------------------------------------------------------------------------
 
@@ -218,33 +238,41 @@ class Encoder:
         yield text[start:]
 
     def stream(self, text: str | None) -> Iterator[list[int]]:
-        """Ids of a text, in order, a slice's at a time."""
+        """Ids of a text, in order, a slice's or some thousand at a time."""
         parts = self.marks.split(text or "") if self.marks and "<" in (text or "") else [text or ""]
         for part in parts:
             if part in self.special:
                 yield [self.special[part]]
                 continue
             for piece in self.slices(part):
-                yield self._ids(piece)
+                yield from self._ids(piece)
 
-    def _ids(self, piece: str) -> list[int]:
+    def _ids(self, piece: str) -> Iterator[list[int]]:
         if piece.isascii():
-            found = ASCII_WORDS.findall(piece.lower())
+            pattern, piece = ASCII_WORDS, piece.lower()
         else:
-            piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
-            found = ALL_WORDS.findall(piece)
+            self.all_words = self.all_words or word_pattern()
+            pattern, piece = self.all_words, unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower().translate(ADDED_CAPITALS)
         ids: list[int] = []
-        known, extend = self.words, ids.extend
-        for w in found:
+        known = self.words
+        for w in pattern.findall(piece):
             got = known.get(w)
             if got is None:
-                got = self.word(w)
-                if len(w) <= SHORT:
+                fresh = self.word(w)
+                got = tuple(itertools.islice(fresh, KEPT_IDS))
+                if len(got) < KEPT_IDS:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[w] = got
-            extend(got)
-        return ids
+                else:
+                    while more := tuple(itertools.islice(fresh, OUT_IDS)):
+                        ids.extend(got)
+                        got = more
+                        if len(ids) >= OUT_IDS:
+                            yield ids
+                            ids = []
+            ids.extend(got)
+        yield ids
 
 
 class Decoder:
@@ -292,12 +320,18 @@ def encode_documents(
     shared = docs.sparkSession.sparkContext.broadcast(spec)
     key = source.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(shared.value), Decoder(shared.value)
-        decimal = {i: str(i).encode() for i in decoder.piece}
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        decimal = [b"%d" % i for i in range(max(decoder.piece, default=-1) + 1)]
+        types = [pa.int64(), pa.string(), pa.string(), pa.binary()]
+
+        def result(part: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(("n_tokens", "ids_sha256", "decoded_sha256", "ids"), (pa.array(list(x), t) for x, t in zip(zip(*rows), types)))
+            return beside_ids(part, **{n: x for n, x in columns if with_ids or n != "ids"})
+
+        for part, lines in (p for batch in batches for p in in_parts(batch)):
+            rows, first, held = [], 0, 0
+            for i, text in enumerate(lines):
                 ids_hash, text_hash, n, kept = hashlib.sha256(), hashlib.sha256(), 0, []
                 decoder.start()
                 for ids in encoder.stream(text):
@@ -309,10 +343,11 @@ def encode_documents(
                     if with_ids:
                         kept.append(np.asarray(ids, "<u4").tobytes())
                 text_hash.update(decoder.finish().encode("utf-8"))
-                rows.append((doc_id, n, ids_hash.hexdigest(), text_hash.hexdigest(), b"".join(kept)))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
-            out["doc_id"] = batch["doc_id"].to_numpy()
-            yield out if with_ids else out.drop(columns="ids")
+                rows.append((n, ids_hash.hexdigest(), text_hash.hexdigest(), b"".join(kept)))
+                held += 4 * n
+                if held >= OUT_BYTES or i == len(lines) - 1:
+                    yield result(part.slice(first, len(rows)), rows)
+                    rows, first, held = [], i + 1, 0
 
     schema = f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return source.mapInPandas(run, schema + (", ids binary" if with_ids else ""))
+    return source.mapInArrow(run, schema + (", ids binary" if with_ids else ""))

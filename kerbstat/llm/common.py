@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +34,25 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
 
+def column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def in_parts(batch: pa.RecordBatch, name: str = "text", chars: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """A batch cut so that the texts of a part hold about ``chars`` characters or are one text; each part with its texts."""
+    lines, start, held = column(batch, name).to_pylist(), 0, 0
+    for i, line in enumerate(lines):
+        held += len(line or "")
+        if held >= chars or i == len(lines) - 1:
+            yield batch.slice(start, i + 1 - start), lines[start : i + 1]
+            start, held = i + 1, 0
+
+
+def beside_ids(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
+    """The ids of a batch, untouched, beside columns of as many values."""
+    return pa.RecordBatch.from_arrays([column(batch, "doc_id"), *columns.values()], names=["doc_id", *columns])
+
+
 def bounded_sample(labelled: DataFrame, rows: int) -> DataFrame:
     """``(doc_id, label)``: at most ``rows`` rows, those with the smallest hash of the id; one per id.
 

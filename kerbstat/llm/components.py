@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 
 from kerbstat.session import ensure_checkpoint_dir
 
-ROUNDS = 60
-
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` for every node of the links; the component is its smallest node. Nodes are of type long.
 
     Minima are combined before the shuffle and joined back, so a node with very many links is not one task's work.
-    Links with a null end and links of a node to itself connect nothing. Each round's links go to the checkpoint folder.
+    Links with a null end and links of a node to itself connect nothing. Each round's links go to the checkpoint folder;
+    rounds go on until one changes nothing.
     """
     ensure_checkpoint_dir(links.sparkSession)
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).dropna().filter("u <> v").distinct().checkpoint()
     known = None
-    for _ in range(ROUNDS):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

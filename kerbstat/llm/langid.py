@@ -18,11 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstat.llm.common import bounded_sample, small_batches, texts
+from kerbstat.llm.common import beside_ids, bounded_sample, in_parts, small_batches, texts
 
 SAMPLE_ROWS = 20_000
 GRAMS = 6_000  # per language
@@ -139,29 +140,20 @@ def build(table: pd.DataFrame) -> Model:
     return Model(languages, common, bits, fill**HASHES)
 
 
-def predict(model: Model, batch: pd.Series) -> pd.DataFrame:
-    """``lang_pred, score, explained`` for texts: language, its part of the two best, its share of the grams."""
-    lines = [t if isinstance(t, str) else "" for t in batch]
-    out = pd.DataFrame({"lang_pred": [UNKNOWN] * len(lines), "score": 0.0, "explained": 0.0})
+def predict(model: Model, batch: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """For each text its language, that one's part of the two best, and its share of the grams."""
+    lines = [t or "" for t in batch]
     if not lines or not model.languages:
-        return out
+        return [UNKNOWN] * len(lines), np.zeros(len(lines)), np.zeros(len(lines))
     codes, counts, has = grams(lines)
     hits = model.hits(codes, counts)
     best = np.where(hits.max(axis=1) > 0, hits.argmax(axis=1), model.common)
     top = hits[np.arange(len(lines)), best]
     second = np.partition(hits, -2, axis=1)[:, -2] if hits.shape[1] > 1 else np.zeros(len(lines))
     names = np.array(model.languages, object)
-    out["lang_pred"] = np.where(has, names[best], UNKNOWN)
-    out["score"] = np.where(has & (top > 0), top / np.maximum(top + second, 1e-12), 0.0)
-    out["explained"] = np.where(has, np.minimum(1.0, top / np.maximum(counts, 1)), 0.0)
-    return out
-
-
-def in_parts(batch: pd.DataFrame, column: str = "text", chars: int = 1_000_000) -> Iterator[pd.DataFrame]:
-    """A batch cut so that the texts of a part hold about ``chars`` characters or are one text."""
-    size = batch[column].map(lambda t: len(t) if isinstance(t, str) else 0).cumsum() // chars
-    for _, part in batch.groupby(size, sort=True):
-        yield part.reset_index(drop=True)
+    score = np.where(has & (top > 0), top / np.maximum(top + second, 1e-12), 0.0)
+    explained = np.where(has, np.minimum(1.0, top / np.maximum(counts, 1)), 0.0)
+    return np.where(has, names[best], UNKNOWN).tolist(), score, explained
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,14 +161,15 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     source = texts(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in in_parts(batch):
-                yield pd.concat([part[["doc_id"]], predict(shared.value, part["text"])], axis=1)
+            for part, lines in in_parts(batch):
+                names, score, explained = predict(shared.value, lines)
+                yield beside_ids(part, lang_pred=pa.array(names, pa.string()), score=pa.array(score), explained=pa.array(explained))
 
     key = source.schema["doc_id"].dataType
     schema = T.StructType().add("doc_id", key).add("lang_pred", "string").add("score", "double")
-    return source.mapInPandas(run, schema.add("explained", "double"))
+    return source.mapInArrow(run, schema.add("explained", "double"))
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = ACCEPTED) -> DataFrame:
@@ -184,10 +177,10 @@ def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: flo
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in in_parts(batch, text_col):
-                found = predict(shared.value, part[text_col])
-                yield part[(found["lang_pred"] != UNKNOWN) & (found["explained"] >= least)]
+            for part, lines in in_parts(batch, text_col):
+                names, _, explained = predict(shared.value, lines)
+                yield part.filter(pa.array([name != UNKNOWN and share >= least for name, share in zip(names, explained)], pa.bool_()))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -2,10 +2,11 @@
 
 A document's tokens are the 64-bit hashes of its distinct n-word shingles. Documents with equal sets are one node.
 Tokens are ordered: rare ones first, frequent ones last, by hash in each class. Two nodes that
-link share at least ``k`` tokens among their first ``size - least overlap + k``. With k = 2 a linked pair
-thus shares a rare token there, or two frequent ones: rare tokens are indexed singly, frequent ones in pairs. Sets of
-more than ``PAIRED`` shingles index frequent tokens singly too, and sets whose partners may lie on either side of that size do both.
-The class is decided by counts over all documents, map-side; it only steers the order, so results never depend on it.
+link share at least ``k`` tokens among their first ``size - least overlap + k``. With k = m + 1 a linked pair
+thus shares a rare token there, or m + 1 frequent ones, of which two fall into the same of m groups by hash: rare tokens are indexed
+singly, frequent ones in pairs within a group. A quarter as many groups as the prefix has tokens keep the pairs in proportion to it; their number goes by
+the binary size class, and sets whose partners may lie in several classes are indexed for each.
+The class of a token is decided by counts over all documents, of those tokens that occur twice in what a task counts together; it only steers the order, so results never depend on it.
 
 Index lists are not expanded into pairs. Lists with the same members count once. In a first round each
 member meets its list's smallest node only; verified links are joined into components. A second round looks at lists that still hold
@@ -23,16 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstat.llm.common import texts
+from kerbstat.llm.common import column, texts
 from kerbstat.llm.components import components
 from kerbstat.session import scratch_dir
 
-PAIRED = 128  # shingles up to which frequent tokens are indexed in pairs
+GROUPED = 4  # tokens of a prefix to a group
 FREQUENT = 32  # documents from which on a token is frequent
 FREQUENT_TOKENS = 4_000_000  # at most so many
 COUNTED = 1_000_000  # tokens counted together in a task
@@ -85,6 +87,26 @@ def least_overlap(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def check_percent(percent: int) -> None:
+    if not 50 < percent <= 100:
+        raise ValueError("percent must lie above 50 and be 100 at most")
+
+
+def size_class(size: int) -> int:
+    return size.bit_length()
+
+
+def groups_of(cls: int, percent: int) -> int:
+    """The number of groups of frequent tokens in the prefixes of sets of a size class."""
+    largest = (1 << cls) - 1
+    return -(-(largest - least_overlap(largest, percent) + 1) // (2 * GROUPED))
+
+
+def classes_of(size: int, percent: int) -> range:
+    """The classes of the sizes that a partner may have."""
+    return range(size_class(least_overlap(size, percent)), size_class(100 * size // percent) + 1)
+
+
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
     """The index entries of a set: single rare tokens and pairs of frequent ones from its extended prefix."""
     size = len(tokens)
@@ -95,16 +117,18 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
         is_frequent = frequent[at] == tokens
     else:
         is_frequent = np.zeros(size, bool)
-    prefix = size - least_overlap(size, percent) + 2
-    rare = tokens[~is_frequent][:prefix]
-    out = [rare]
-    often = tokens[is_frequent][: max(0, prefix - len(rare))]
-    if len(often):
-        if size * percent <= PAIRED * 100:
-            i, j = np.triu_indices(len(often), 1)
-            out.append(mixed(often[i] * ODD + often[j]))
-        if size * 100 > PAIRED * percent:
-            out.append(often)
+    rare, often, prefix = tokens[~is_frequent], tokens[is_frequent], size - least_overlap(size, percent) + 1
+    counts = {groups_of(cls, percent) for cls in classes_of(size, percent)}
+    out = [rare[: prefix + max(counts)]]
+    for m in counts:
+        chosen = often[: max(0, prefix + m - len(rare))]
+        group = ((chosen >> np.uint64(17)) % np.uint64(m)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        many = np.bincount(group, minlength=m)
+        for low, n in zip((np.cumsum(many) - many)[many > 1].tolist(), many[many > 1].tolist()):
+            i, j = np.triu_indices(n, 1)
+            of = chosen[order[low : low + n]]
+            out.append(mixed(of[i] * ODD + of[j] + np.uint64(m)))
     return np.concatenate(out)
 
 
@@ -144,8 +168,9 @@ class Join:
     """One join; the steps share the documents, the parameters and the scratch folder."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int):
+        check_percent(percent)
         self.spark, self.words, self.percent = docs.sparkSession, words, percent
-        self.source = texts(docs, id_col, text_col)
+        self.source = texts(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
         self.folder = scratch_dir(self.spark, "ngram-join")
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
@@ -156,20 +181,27 @@ class Join:
     # --- nodes and token classes -----------------------------------------------------------
 
     def survey(self) -> tuple[DataFrame, np.ndarray]:
-        """``doc_id, node, n, counts`` per document, counts by bucket, and the frequent tokens, sorted."""
+        """``doc_id, key, node, n, counts`` per document, counts by bucket, and the frequent tokens, sorted."""
         n = self.words
+        names = ["doc_id", "key", "node", "n", "counts", "token", "df"]
+        types = dict(zip(names[1:], [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]))
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            shingles, held, seen, size = Shingles(n), [], set(), 0
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shingles, held, seen, size, id_type = Shingles(n), [], set(), 0, None
 
-            def counted() -> pd.DataFrame:
+            def rows(many: int, **given: pa.Array) -> pa.RecordBatch:
+                kinds = {"doc_id": id_type, **types}
+                return pa.RecordBatch.from_arrays([given[c] if c in given else pa.nulls(many, kinds[c]) for c in names], names=names)
+
+            def counted() -> pa.RecordBatch:
                 tokens, df = np.unique(np.concatenate(held), return_counts=True)
                 often = df > 1
-                return pd.DataFrame({"doc_id": None, "node": None, "n": None, "counts": None, "token": tokens[often].astype(np.int64), "df": df[often]})
+                return rows(int(often.sum()), token=pa.array(tokens[often].astype(np.int64)), df=pa.array(df[often].astype(np.int64)))
 
             for batch in batches:
+                id_type = column(batch, "doc_id").type
                 nodes, sizes, spread = [], [], []
-                for text in batch["text"]:
+                for text in column(batch, "text").to_pylist():
                     tokens = shingles.of(text)
                     sizes.append(len(tokens))
                     nodes.append(node_of(tokens) if len(tokens) else None)
@@ -181,28 +213,20 @@ class Join:
                     if size >= COUNTED:
                         yield counted()
                         held, seen, size = [], set(), 0
-                yield pd.DataFrame(
-                    {
-                        "doc_id": batch["doc_id"],
-                        "node": pd.array(nodes, "Int64"),
-                        "n": pd.array(sizes, "Int32"),
-                        "counts": spread,
-                        "token": None,
-                        "df": None,
-                    }
-                )
+                ids, own = column(batch, "doc_id"), column(batch, "key")
+                yield rows(len(nodes), doc_id=ids, key=own, node=pa.array(nodes, pa.int64()), n=pa.array(sizes, pa.int32()), counts=pa.array(spread, pa.binary()))
             if held:
                 yield counted()
 
         key = self.source.schema["doc_id"].dataType
-        schema = T.StructType().add("doc_id", key).add("node", "long").add("n", "integer").add("counts", "binary").add("token", "long").add("df", "long")
-        both = self.stored(self.source.mapInPandas(run, schema), "survey")
+        schema = T.StructType().add("doc_id", key).add("key", "long").add("node", "long").add("n", "integer").add("counts", "binary").add("token", "long").add("df", "long")
+        both = self.stored(self.source.mapInArrow(run, schema), "survey")
         counts = both.filter("token is not null").groupBy("token").agg(F.sum("df").alias("df"))
         total = counts.agg(F.sum("df").alias("s")).first()["s"] or 0
         # Tokens with at least this count are at most FREQUENT_TOKENS many, as all counts add up to the total.
         least = max(FREQUENT, -(-total // FREQUENT_TOKENS))
         frequent = counts.filter(F.col("df") >= least).select("token").toArrow()["token"].to_numpy().astype(np.uint64)
-        return both.filter("token is null").select("doc_id", "node", "n", "counts"), np.sort(frequent)
+        return both.filter("token is null").select("doc_id", "key", "node", "n", "counts"), np.sort(frequent)
 
     # --- index -------------------------------------------------------------------------------
 
@@ -418,32 +442,38 @@ class Join:
         nodes = self.docs.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
         nodes = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         lows = nodes.groupBy("component").agg(F.min("low").alias("component_id"))
-        named = nodes.join(lows, "component").select("node", "component_id")
+        named = nodes.join(lows, "component").select("node", "component_id", "component")
         out = self.docs.join(named, "node", "left")
-        return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "node")
+        size, name = F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        return out.select("doc_id", size, name, "node", "key", "component")
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, node`` per document: size of its set, smallest id reachable by links, and its set's hash."""
-    return Join(docs, id_col, text_col, words, percent).run()
+    return Join(docs, id_col, text_col, words, percent).run().drop("key", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, small: int = 1_000_000) -> DataFrame:
     """The documents, whole, that stay when of each component only the one with the smallest id does.
 
-    Rows that repeat id and text stay once. Ids to drop are broadcast while they are at most ``small``, else joined. Documents with null ids stay.
+    A document is its id and its text: where an id comes with several texts, each is judged by itself. Null ids come last; of a component
+    without ids the text with the smallest hash stays. Rows that repeat id and text stay once, also where the text is null or empty. What to drop is broadcast while it has at
+    most ``small`` rows, else joined.
     """
-    found = link_documents(docs, id_col, text_col, words, percent)
+    found = Join(docs, id_col, text_col, words, percent).run().select("doc_id", "key", "component")
     spark, folder = docs.sparkSession, scratch_dir(docs.sparkSession, "keep-one")
-    found.select("doc_id", "component_id").write.parquet(folder)
-    found = spark.read.schema(found.select("doc_id", "component_id").schema).parquet(folder)
-    few = lambda ids: F.broadcast(ids) if ids.count() <= small else ids
-    drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(few(drop), docs[id_col] == F.col("_id"), "left_anti")
-    again = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
+    found.write.parquet(folder)
+    found = spark.read.schema(found.schema).parquet(folder)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key").alias("key"))).alias("first")
+    winners = found.filter("component is not null").groupBy(F.col("component").alias("_component")).agg(first)
+    judged = found.join(winners, F.col("component") == F.col("_component"), "left")
+    wins = F.col("component").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key")))
+    names = [F.col("doc_id").alias("_id"), F.col("key").alias("_key")]
+    few = lambda rows: F.broadcast(rows) if rows.count() <= small else rows
+    same = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_key"))
+    kept = docs.join(few(judged.filter(~wins).select(*names).distinct()), same, "left_anti")
+    again = judged.filter(wins).groupBy(*names).count().filter("count > 1").select("_id", "_key")
     if not again.limit(1).count():
         return kept
     again = few(again)
-    once = kept.join(again, kept[id_col] == F.col("_id"), "left_anti")
-    repeated = kept.join(again, kept[id_col] == F.col("_id"), "left_semi").dropDuplicates([id_col, text_col])
-    return once.unionByName(repeated)
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))

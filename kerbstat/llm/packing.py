@@ -15,14 +15,14 @@ import base64
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstat.llm.common import texts
+from kerbstat.llm.common import column, texts
 
 LENGTH = 2048
 WINDOW = 2_000_000  # tokens packed at a time
@@ -89,7 +89,7 @@ def pack(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", te
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
     kind = "<u2" if ranks.count(b"\n") <= 1 << 16 else "<u4"
 
-    def rows_of(keys: list, ids: list[np.ndarray], first: int) -> pd.DataFrame:
+    def rows_of(keys: list, ids: list[np.ndarray], first: int) -> list[tuple]:
         owner, offset, size = [], [], []
         for i, tokens in enumerate(ids):
             for at in range(0, max(1, len(tokens)), length):
@@ -101,27 +101,29 @@ def pack(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", te
             ends = np.cumsum([0, *(size[p] for p in pieces)]).astype(np.int32)
             body = b"".join(ids[owner[p]][offset[p] : offset[p] + size[p]].tobytes() for p in pieces)
             rows.append((first + number, int(ends[-1]), [keys[owner[p]] for p in pieces], [offset[p] for p in pieces], ends, ends[:-1], body))
-        return pd.DataFrame(rows, columns=["pack", "n_tokens", "doc_ids", "doc_offsets", "cu_seqlens", "resets", "ids"])
+        return rows
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(*shared.value).encode_ordinary
         keys, ids, held, first = [], [], 0, 0
         task = TaskContext.get().partitionId()
 
-        def flush() -> pd.DataFrame:
-            out = rows_of(keys, ids, first)
-            out.insert(0, "task", task)
-            return out
+        def flush() -> pa.RecordBatch:
+            out = list(zip(*((task, *row) for row in rows_of(keys, ids, first))))
+            whole = pa.list_(pa.int32())
+            types = [pa.int32(), pa.int64(), pa.int32(), pa.list_(key_type), whole, whole, whole, pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(out, types)], names=schema.names)
 
         for batch in batches:
-            for key, text in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), batch["text"]):
-                tokens = np.array(encode(text) if isinstance(text, str) else [], kind)
+            key_type = column(batch, "doc_id").type
+            for key, text in zip(column(batch, "doc_id").to_pylist(), column(batch, "text").to_pylist()):
+                tokens = np.array(encode(text) if text else [], kind)
                 keys.append(key)
                 ids.append(tokens)
                 held += len(tokens) + 8
                 if held >= window:
                     out = flush()
-                    first += len(out)
+                    first += out.num_rows
                     keys, ids, held = [], [], 0
                     yield out
         if keys:
@@ -130,24 +132,27 @@ def pack(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", te
     whole = T.ArrayType(T.IntegerType())
     schema = T.StructType().add("task", "integer").add("pack", "long").add("n_tokens", "integer")
     schema = schema.add("doc_ids", T.ArrayType(source.schema["doc_id"].dataType)).add("doc_offsets", whole)
-    return source.mapInPandas(run, schema.add("cu_seqlens", whole).add("resets", whole).add("ids", "binary"))
+    schema = schema.add("cu_seqlens", whole).add("resets", whole).add("ids", "binary")
+    return source.mapInArrow(run, schema)
 
 
 def unpack(packed: DataFrame, wide: bool = False) -> DataFrame:
     """``doc_id, doc_offset, ids`` per segment, ids as array; the segments of a document in order of offset are its tokens."""
     kind = "<u4" if wide else "<u2"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                tokens = np.frombuffer(r.ids, kind).astype(np.int32)
-                for key, offset, a, b in zip(r.doc_ids, r.doc_offsets, r.cu_seqlens[:-1], r.cu_seqlens[1:]):
-                    rows.append((key, offset, tokens[a:b]))
-            yield pd.DataFrame(rows, columns=["doc_id", "doc_offset", "ids"])
+            keys, offsets, ids = [], [], []
+            for r in batch.to_pylist():
+                tokens = np.frombuffer(r["ids"], kind).astype(np.int32)
+                keys += r["doc_ids"]
+                offsets += r["doc_offsets"]
+                ids += [tokens[a:b] for a, b in zip(r["cu_seqlens"][:-1], r["cu_seqlens"][1:])]
+            types = [column(batch, "doc_ids").type.value_type, pa.int32(), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((keys, offsets, ids), types)], names=["doc_id", "doc_offset", "ids"])
 
     schema = T.StructType().add("doc_id", packed.schema["doc_ids"].dataType.elementType).add("doc_offset", "integer")
-    return packed.select("doc_ids", "doc_offsets", "cu_seqlens", "ids").mapInPandas(run, schema.add("ids", T.ArrayType(T.IntegerType())))
+    return packed.select("doc_ids", "doc_offsets", "cu_seqlens", "ids").mapInArrow(run, schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def position_ids(packed: DataFrame) -> DataFrame:

@@ -16,12 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstat.llm.common import bounded_sample, fit_logistic, logistic, small_batches, texts
+from kerbstat.llm.common import beside_ids, bounded_sample, fit_logistic, in_parts, logistic, small_batches, texts
 
 SAMPLE_ROWS = 12_000
 PIECES, PIECE = 1_500, 2_000  # per label: pieces of a dictionary's text, characters of a piece
@@ -92,10 +93,14 @@ def learn(
     part = F.pmod(F.xxhash64("doc_id", F.lit("fit")), 3)
     piece = F.explode(F.sequence(F.lit(0), (F.length("text") / PIECE).cast("int")))
     pieces = chosen.filter(part == 0).withColumn("at", piece)
-    pieces = pieces.select("label", F.expr(f"substring(text, at * {PIECE} + 1, {PIECE})").alias("piece")).filter("piece <> ''")
-    drawn = Window.partitionBy("label").orderBy(F.xxhash64("piece"), "piece")
-    rows = pieces.withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= PIECES).toPandas()
-    by = {k: [p.encode("utf-8", "surrogatepass") for p in g.sort_values("n")["piece"]] for k, g in rows.groupby("label")}
+    pieces = pieces.select("label", F.expr(f"substring(text, at * {PIECE} + 1, {PIECE})").alias("piece")).filter("piece <> ''").distinct()
+    by = {}
+    # A share of the distinct pieces, by hash, that holds some 3 * PIECES however many there are; the driver keeps the first PIECES.
+    for row in pieces.groupBy("label").count().collect():
+        share = F.lit(min(1.0, 3 * PIECES / row["count"]) * 2.0**63)
+        drawn = pieces.filter((F.col("label") == row["label"]) & ((F.xxhash64("piece").bitwiseAND(F.lit((1 << 63) - 1))).cast("double") < share))
+        rows = sorted((r["order"], r["piece"]) for r in drawn.select(F.xxhash64("piece").bitwiseAND(F.lit((1 << 63) - 1)).alias("order"), "piece").toLocalIterator())
+        by[row["label"]] = [piece.encode("utf-8", "surrogatepass") for _, piece in rows[:PIECES]]
     good, bad = dictionary(by.get(1, [])), dictionary(by.get(0, []))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,10 +117,10 @@ def learn(
     return Model(good, bad, np.concatenate([w[:-1] / scale, [w[-1] - (w[:-1] * shift / scale).sum()]]))
 
 
-def scores(model: Model, sizes: Sizes, batch: pd.Series) -> np.ndarray:
+def scores(model: Model, sizes: Sizes, batch: list[str | None]) -> np.ndarray:
     if model.weights is None:
         return np.full(len(batch), 0.5)
-    x = np.array([sizes.features(t if isinstance(t, str) else None) for t in batch]).reshape(len(batch), -1)
+    x = np.array([sizes.features(t) for t in batch]).reshape(len(batch), -1)
     return logistic(x, model.weights) if len(batch) else np.zeros(0)
 
 
@@ -124,14 +129,15 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     source = texts(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(shared.value.good, shared.value.bad)
         for batch in batches:
-            score = scores(shared.value, sizes, batch["text"])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": score, "predicted": (score >= THRESHOLD).astype(int)})
+            for part, lines in in_parts(batch):
+                score = scores(shared.value, sizes, lines)
+                yield beside_ids(part, score=pa.array(score), predicted=pa.array((score >= THRESHOLD).astype(np.int32)))
 
     schema = T.StructType().add("doc_id", source.schema["doc_id"].dataType).add("score", "double")
-    return source.mapInPandas(run, schema.add("predicted", "integer"))
+    return source.mapInArrow(run, schema.add("predicted", "integer"))
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -139,9 +145,10 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: floa
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(shared.value.good, shared.value.bad)
         for batch in batches:
-            yield batch[scores(shared.value, sizes, batch[text_col]) >= least]
+            for part, lines in in_parts(batch, text_col):
+                yield part.filter(pa.array(scores(shared.value, sizes, lines) >= least))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -21,11 +21,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbstat.llm.common import bounded_sample, fit_logistic, logistic, texts
+from kerbstat.llm.common import beside_ids, bounded_sample, fit_logistic, in_parts, logistic, texts
 
 SAMPLE_ROWS = 30_000
 LEARNED = 4_000  # lexicon entries at most
@@ -188,7 +189,7 @@ def learn(
                     n[1] += label
             yield pd.DataFrame({"term": list(seen), "n": [v[0] for v in seen.values()], "bad": [v[1] for v in seen.values()]})
 
-    counted = chosen.filter(half == 0).select("text", "label").dropDuplicates(["text"]).mapInPandas(terms, "term string, n long, bad long")
+    counted = chosen.filter(half == 0).groupBy("text").agg(F.min("label").alias("label")).mapInPandas(terms, "term string, n long, bad long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     rate = chosen.filter(half == 0).agg(F.avg("label").alias("p")).first()["p"]
     if rate and 0 < rate < 1:
@@ -212,8 +213,8 @@ def learn(
     return Model(lexicon, fit_logistic(np.array(fitted["x"].tolist()), fitted["label"].to_numpy()))
 
 
-def scores(model: Model, batch: pd.Series) -> np.ndarray:
-    x = np.array([features(model.lexicon, t if isinstance(t, str) else None) for t in batch]).reshape(len(batch), 4)
+def scores(model: Model, batch: list[str | None]) -> np.ndarray:
+    x = np.array([features(model.lexicon, t) for t in batch]).reshape(len(batch), 4)
     return 1 - np.exp(-np.expm1(x[:, 1]) / 4) if model.weights is None else logistic(x, model.weights)
 
 
@@ -222,11 +223,12 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     source = texts(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value
         for batch in batches:
-            score = scores(found, batch["text"])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": score, "predicted": (score >= THRESHOLD).astype(int)})
+            for part, lines in in_parts(batch):
+                score = scores(found, lines)
+                yield beside_ids(part, score=pa.array(score), predicted=pa.array((score >= THRESHOLD).astype(np.int32)))
 
     schema = T.StructType().add("doc_id", source.schema["doc_id"].dataType).add("score", "double")
-    return source.mapInPandas(run, schema.add("predicted", "integer"))
+    return source.mapInArrow(run, schema.add("predicted", "integer"))

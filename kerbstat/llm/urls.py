@@ -20,7 +20,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -36,7 +36,7 @@ UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
 def split_url(url: str | None) -> tuple[str, str]:
-    found = URL.match(url) if isinstance(url, str) else None
+    found = URL.match(url) if url else None
     return (found.group(1).translate(UPPER), found.group(2)) if found else ("", "")
 
 
@@ -125,16 +125,15 @@ def judge(
     number = F.pmod(F.xxhash64("host", "path"), F.lit(blocks))
     names = []
     for k in range(blocks):
-        rows = clean.filter(number == k).toPandas()
-        names.append(ship(spark, pack(list(rows.itertuples(index=False, name=None)))))
+        names.append(ship(spark, pack([tuple(r) for r in clean.filter(number == k).toLocalIterator()])))
 
     source = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = [Digests(SparkFiles.get(name)) for name in names]
         lengths = sorted({int(n) for a in arrays for n in a.lengths})
         for batch in batches:
-            parts = [split_url(u) for u in batch["url"]]
+            parts = [split_url(u) for u in batch.column(1).to_pylist()]
             owners, texts = [], []
             for i, (host, path) in enumerate(parts):
                 for pair in candidates(host, path, lengths):
@@ -149,17 +148,10 @@ def judge(
             for i, pair, letter in zip(owners, texts, found):
                 if letter and rule[i] is None:
                     rule[i], verdict[i] = pair[0] + pair[1], "block" if letter == b"b" else "allow"
-            yield pd.DataFrame(
-                {
-                    "page_id": batch["page_id"],
-                    "host": [h for h, _ in parts],
-                    "path": [p for _, p in parts],
-                    "rule": rule,
-                    "verdict": verdict,
-                }
-            )
+            texts = [pa.array(x, pa.string()) for x in ([h for h, _ in parts], [p for _, p in parts], rule, verdict)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *texts], names=["page_id", "host", "path", "rule", "verdict"])
 
     schema = T.StructType().add("page_id", source.schema["page_id"].dataType)
     for name in ("host", "path", "rule", "verdict"):
         schema = schema.add(name, "string")
-    return source.mapInPandas(run, schema)
+    return source.mapInArrow(run, schema)
