@@ -134,7 +134,7 @@ def asked(bundle: Bundle, number: int, shards: int) -> Iterator[dict]:
     rank = np.empty(len(words), np.uint32)
     rank[common] = np.arange(len(words), dtype=np.uint32)
     yield {
-        "bundle": number, "shard": number % shards, "part": DOCS, "a": packed(rank[place]), "b": words[common].tobytes(),
+        "bundle": number, "shard": number % shards, "part": DOCS, "a": packed(rank[place]), "b": packed(common.astype(np.uint32)),
         "ids": bundle.ids, "rows": bundle.rows, "train": bundle.train, "lengths": bundle.lengths, "first": bundle.first,
     }
     pairs = pair_hashes(contexts(tokens, lengths, first), tokens)
@@ -151,7 +151,7 @@ def asked(bundle: Bundle, number: int, shards: int) -> Iterator[dict]:
 
 
 def answered(table: pa.Table) -> Iterator[dict]:
-    """A shard's answers: for each row of hashes their counts in all training text; rows of tokens pass."""
+    """A shard's answers: for each row of hashes their counts in all training text, with the hashes where they are words'."""
     kinds = np.array(table.column("part").to_pylist())
     rows = table.select(["bundle", "shard", "part"]).to_pylist()
     for part in (WORDS, PAIRS):
@@ -165,7 +165,8 @@ def answered(table: pa.Table) -> Iterator[dict]:
         np.add.at(total, place, own)
         ends = np.cumsum([len(x) for x in lists])
         for i, x, end in zip(at.tolist(), lists, ends.tolist()):
-            yield {**rows[i], "a": packed(total[place[end - len(x) : end]].astype(np.uint64))}
+            same = {"b": table.column("a")[i].as_py()} if part == WORDS else {}
+            yield {**rows[i], "a": packed(total[place[end - len(x) : end]].astype(np.uint64)), **same}
         if part == WORDS:
             real = total[hashes != START]
             yield {"bundle": -1, "shard": rows[at[0]]["shard"], "part": WORDS, "types": int((real > 0).sum()), "total": int(real.sum())}
@@ -182,21 +183,40 @@ class Counts:
     token: np.ndarray
     context: np.ndarray
     pair: np.ndarray
-    place: np.ndarray  # of the token among the bundle's words
-    pair_place: np.ndarray
+    rank: np.ndarray  # of the token in the bundle's vocabulary
+    pair_place: np.ndarray  # of the pair among the bundle's
     starts: np.ndarray  # whether a part begins its document
 
 
+def pair_codes(rank: np.ndarray, lengths: np.ndarray, before: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rank of each token's context, and the two ranks as one number."""
+    context = contexts(rank, lengths, before)
+    return context, context * size + rank
+
+
 def counts_of(row: dict) -> Counts:
-    lengths, first = np.array(row["lengths"], np.int64), np.array(row["first"], np.int64).astype(np.uint64)
-    common, rank = np.frombuffer(row["b"], np.uint64), unpacked(row["a"], np.uint32)
-    words = np.sort(common)
-    by_word = unpacked(row["words"]).astype(np.int64)
-    tokens, place = common[rank], np.searchsorted(words, common)[rank]
-    context = contexts(tokens, lengths, first)
-    pair_place = np.unique(pair_hashes(context, tokens), return_inverse=True)[1]
-    before = contexts(place, lengths, np.searchsorted(words, first))
-    return Counts(lengths, by_word[place], by_word[before], unpacked(row["pairs"]).astype(np.int64)[pair_place], place, pair_place, first == START)
+    lengths, rank = np.array(row["lengths"], np.int64), unpacked(row["a"], np.uint32).astype(np.int64)
+    by_word, by_pair = (unpacked(row[c]).astype(np.int64) for c in ("words", "pairs"))
+    context, codes = pair_codes(rank, lengths, np.array(row["before"], np.int64), len(by_word))
+    place = np.unique(codes, return_inverse=True)[1]
+    return Counts(lengths, by_word[rank], by_word[context], by_pair[place], rank, place, np.array(row["starts"], bool))
+
+
+def by_rank(row: dict, words: np.ndarray, word_counts: np.ndarray, pair_counts: np.ndarray) -> dict:
+    """A bundle's row of tokens with the answers in the order of its own ranks and pairs of ranks, so that hashes are needed no more."""
+    common = unpacked(row["b"], np.uint32).astype(np.int64)
+    ranks = np.empty_like(common)
+    ranks[common] = np.arange(len(common))
+    first = np.array(row["first"], np.int64).astype(np.uint64)
+    before, lengths = ranks[np.searchsorted(words, first)], np.array(row["lengths"], np.int64)
+    rank = unpacked(row["a"], np.uint32).astype(np.int64)
+    context, codes = pair_codes(rank, lengths, before, len(words))
+    hashes = words[common]
+    pairs = pair_hashes(hashes[context], hashes[rank])
+    at = np.unique(codes, return_index=True)[1]
+    own = np.searchsorted(np.unique(pairs), pairs[at])
+    kept = {c: row[c] for c in ("a", "ids", "rows", "train", "lengths")}
+    return kept | {"before": before.tolist(), "starts": (first == START).tolist(), "words": packed(word_counts[common]), "pairs": packed(pair_counts[own])}
 
 
 def bucket(context: np.ndarray) -> np.ndarray:
@@ -214,7 +234,7 @@ def cells(counts: Counts, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         _, at, many = np.unique(owner * (int(place.max(initial=0)) + 1) + place, return_inverse=True, return_counts=True)
         return many[at]
 
-    of_token = own(counts.place)
+    of_token = own(counts.rank)
     token = (counts.token - of_token)[event]
     context = (counts.context - contexts(of_token, counts.lengths, counts.starts.astype(np.int64)))[event]
     pair = (counts.pair - own(counts.pair_place))[event]
@@ -232,9 +252,9 @@ def gathered(table: pa.Table) -> Iterator[dict]:
         yield {"types": sum(r["types"] for r in rows), "total": sum(r["total"] for r in rows)}
         return
     order = sorted(range(len(rows)), key=lambda i: (rows[i]["part"], rows[i]["shard"]))
-    answers = {p: np.concatenate([unpacked(table.column("a")[i].as_py()) for i in order if rows[i]["part"] == p]) for p in (WORDS, PAIRS)}
+    joined = lambda part, column, read: np.concatenate([read(table.column(column)[i].as_py()) for i in order if rows[i]["part"] == part])
     row = table.slice(order[0], 1).to_pylist()[0]
-    row = {c: row[c] for c in ("a", "b", "ids", "rows", "train", "lengths", "first")} | {"words": packed(answers[WORDS]), "pairs": packed(answers[PAIRS])}
+    row = by_rank(row, joined(WORDS, "b", unpacked_sorted), joined(WORDS, "a", unpacked), joined(PAIRS, "a", unpacked))
     yield row
     at, many = cells(counts_of(row), np.array(row["train"], bool))
     for cell, n in zip(at.tolist(), many.tolist()):
@@ -311,9 +331,9 @@ class Corpus:
         self.key = trained.schema["doc_id"].dataType.simpleString()
         size = docs.agg(F.sum(F.octet_length(docs[text_col]))).first()[0] or 0
         shards = max(1, -(-size // shard_bytes))
-        lists = f"ids array<{self.key}>, rows array<long>, train array<boolean>, lengths array<long>, first array<long>"
-        asks = f"bundle long, shard int, part int, a binary, b binary, {lists}, types long, total long"
-        final = f"a binary, b binary, {lists}, words binary, pairs binary, types long, total long, cell long, n long"
+        lists = f"ids array<{self.key}>, rows array<long>, train array<boolean>, lengths array<long>"
+        asks = f"bundle long, shard int, part int, a binary, b binary, {lists}, first array<long>, types long, total long"
+        final = f"a binary, {lists}, before array<long>, starts array<boolean>, words binary, pairs binary, types long, total long, cell long, n long"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             task, number, row, hashes, schema, bundle = TaskContext.get().partitionId(), 0, 0, WordHashes(), None, Bundle()
@@ -370,7 +390,7 @@ class Corpus:
                     found = scored(batch.slice(i, 1).to_pylist()[0], shared.value)
                     yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in schema], schema=schema)
 
-        by_part = self.rows.filter("rows is not null").select("a", "b", "ids", "rows", "train", "lengths", "first", "words", "pairs").mapInArrow(run, columns)
+        by_part = self.rows.filter("rows is not null").select("a", "ids", "rows", "train", "lengths", "before", "starts", "words", "pairs").mapInArrow(run, columns)
         sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
         return by_part.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("trained").alias("trained"), *sums).drop("row")
 
