@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +19,16 @@ from kerbstat.operators import evaluation, features, models, rules, splits
 from kerbstat.plans import analytics, profile, reshaped, trends
 from kerbstat.session import scratch_dir
 from kerbstat.sources import driver_tables, files, messages
-from kerbstat.streaming import alerts, replay, sinks, windows
+from kerbstat.streaming import alerts, replay, sinks, stateful, windows
 
 
 def _optional(name: str):
-    """The operators on texts and vectors, and the pipeline over them, may be absent; their own imports may not."""
+    """The operators on texts and vectors, and the pipeline over them, or packages that they need, may be absent; all else works without."""
     try:
         return importlib.import_module(name)
-    except ModuleNotFoundError as missing:
-        if missing.name not in (name, "kerbstat.llm"):
-            raise
+    except ImportError as missing:
+        if getattr(missing, "name", None) not in (name, "kerbstat.llm"):
+            warnings.warn(f"{name} is left out: {missing}", stacklevel=2)
         return None
 
 
@@ -216,15 +217,10 @@ def _weighted_forest(spark: SparkSession, folder: str) -> tuple[models.PipelineM
     return _model("weighted", models.train_weighted_forest, train, folder), features.labelled(test)
 
 
-# Below the published 300 rounds of depth 8.
-BOOSTED_TRIAL = {"rounds": 5, "depth": 4}
-
-
 def _boosted(spark: SparkSession, folder: str) -> tuple[models.PipelineModel, DataFrame]:
     sides = splits.stratified_split(features.labelled(driver_tables.accidents(spark, folder)))
     train, test = splits.split_frames(sides)
-    trial = lambda rows, partitions: models.train_boosted(rows, **BOOSTED_TRIAL)
-    return _model("boosted", trial, train.drop("label"), folder), test
+    return _model("boosted", models.train_boosted, train.drop("label"), folder), test
 
 
 def _checks(fitted: Callable, score: Callable) -> Query:
@@ -279,6 +275,71 @@ def _feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     return models.feature_importance(_forest(spark, folder)[0])
 
 
+def _importance_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Per model: its features, whether each is one of the published inputs, and whether shares lie between 0 and 1, sum to 1 and come largest first."""
+    out = None
+    for name, fitted, inputs in (
+        ("forest", _forest, features.FOREST_FEATURES),
+        ("weighted", _weighted_forest, features.WEIGHTED_FEATURES),
+        ("boosted", _boosted, features.BOOSTED_FEATURES),
+    ):
+        shares = models.feature_importance(fitted(spark, folder)[0])
+        place = shares.select("feature", "importance", F.monotonically_increasing_id().alias("place"))
+        pairs = F.array_sort(F.collect_list(F.struct("place", "importance")))
+        steps = F.aggregate(F.slice(pairs, 2, 99), F.struct(F.element_at(pairs, 1)["importance"].alias("x"), F.lit(True).alias("ok")), lambda a, p: F.struct(p["importance"].alias("x"), (a["ok"] & (p["importance"] <= a["x"])).alias("ok")))
+        rows = place.agg(
+            F.lit(name).alias("model"),
+            F.count_distinct("feature").alias("features"),
+            F.count_if(~F.col("feature").isin(*inputs)).alias("unknown"),
+            F.count_if(~F.col("importance").between(0, 1)).alias("off_range"),
+            F.round(F.sum("importance"), 9).alias("total"),
+            steps["ok"].alias("in_order"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _random_split_checks(df: DataFrame) -> DataFrame:
+    """Rows on both sides of Spark's random split, in it twice and in neither; and whether the share is near what was asked for."""
+    train, test = splits.random_split(df)
+    sides = train.select("id").withColumn("train", F.lit(1)).unionByName(test.select("id").withColumn("train", F.lit(0)))
+    per_id = sides.groupBy("id").agg(F.count("*").alias("n"), F.sum("train").alias("train"))
+    all_ids = df.select("id").join(per_id, "id", "left")
+    share = F.sum("train") / F.count("*")
+    return all_ids.agg(F.count("*").alias("rows"), F.count_if(F.col("n") > 1).alias("twice"), F.count_if(F.col("n").isNull()).alias("lost"), share.between(0.75, 0.85).alias("near"))
+
+
+def _random_sample_checks(df: DataFrame) -> DataFrame:
+    """Rows of a random sample that the table has not, or has once but the sample twice, and whether it has about the size asked for."""
+    drawn = files.random_sample(df, 0.3).groupBy("id").agg(F.count("*").alias("n"))
+    found = df.select("id").join(drawn, "id", "full")
+    return found.agg(F.count("*").alias("rows"), F.count_if(F.col("n") > 1).alias("twice"), (F.sum("n") / F.count("*")).between(0.25, 0.35).alias("near"))
+
+
+def _csv_rejects(df: DataFrame) -> DataFrame:
+    """Values spoilt on purpose, per column, reason and raw text."""
+    spark, path, target = df.sparkSession, scratch_dir(df.sparkSession, "csv-spoilt"), scratch_dir(df.sparkSession, "csv-kept")
+    number = F.substring("id", 3, 20).cast("long")
+    text = lambda c: F.col(c).cast("string")
+    spoilt = df.select(
+        "id",
+        F.when(number % 7 == 0, "warm").when(number % 11 == 0, "NaN").otherwise(text("temperature_f")).alias("temperature_f"),
+        F.when(number % 13 == 0, F.concat(text("severity"), F.lit(".5"))).otherwise(text("severity")).alias("severity"),
+        F.when(number % 17 == 0, "maybe").otherwise(text("junction")).alias("junction"),
+        F.when(number % 19 == 0, "some day").otherwise(F.date_format("start_time", "yyyy-MM-dd HH:mm:ss")).alias("start_time"),
+    )
+    files.with_header_names(spoilt).write.option("header", True).csv(path)
+    _, rejects = files.read_csv_with_rejects(spark, path, target)
+    return rejects.groupBy("column_name", "reason", "raw").agg(F.count("*").alias("rows"), F.min("id").alias("first_id"))
+
+
+def _csv_rejects_table(df: DataFrame) -> DataFrame:
+    """The table that comes with rejected values is the one that is read without them."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "csv")
+    files.write_csv(df, path)
+    return files.read_csv_with_rejects(spark, path, scratch_dir(spark, "csv-kept"))[0]
+
+
 def _weighted_forest_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _summary(models.score_weighted_forest(*_weighted_forest(spark, folder)))
 
@@ -298,6 +359,39 @@ def _stream_windows(width: str) -> Query:
     return run
 
 
+def _stream_windows_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All widths from one query."""
+    events = replay.as_stream(driver_tables.accidents(spark, folder), end_marker={})
+    return replay.run_to_table(stateful.all_windows(alerts.scored(events)), "all-windows")
+
+
+def _stream_rolling_exact(spark: SparkSession, folder: str) -> DataFrame:
+    events = replay.as_stream(driver_tables.accidents(spark, folder), end_marker={"street": "end of stream"})
+    return replay.run_to_table(stateful.rolling_severity_stream(events), "rolling")
+
+
+def _stream_latest_live(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest events as each micro-batch leaves them, the sink being read only at the end."""
+    stream = alerts.scored(replay.as_stream(driver_tables.accidents(spark, folder))).select("id", "start_time", "state", "predicted_severity")
+    path = scratch_dir(spark, "latest")
+    sinks.write_latest(stream, path, alerts.latest_events).awaitTermination()
+    return sinks.read_latest(spark, path, alerts.latest_events)
+
+
+def _stream_scores_by(fitted: Callable) -> Query:
+    """Events and those that the stored model could not score, per state, from a stream."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path = scratch_dir(spark, "model")
+        models.save_model(fitted(spark, folder)[0], path)
+        stream = alerts.scored(replay.as_stream(driver_tables.accidents(spark, folder)), models.load_model(path))
+        stored = replay.run_to_table(stream.select("id", "state", "predicted_severity"), "scores")
+        level = F.col("predicted_severity")
+        return stored.groupBy("state").agg(F.count("*").alias("events"), F.count_if(level.isNull()).alias("unscored"), F.count_if(~level.between(1, 4)).alias("off_levels"))
+
+    return run
+
+
 def _stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Worst accidents of the first time range come three ranges late, when their windows are closed."""
     late = F.col("severity") == 4
@@ -382,6 +476,7 @@ def queries() -> dict[str, Query]:
         "compound_pivot": reshaped.compound_pivot,
         # profile
         "table_size": profile.table_size,
+        "schema_listing": lambda df: profile.schema_listing(df).drop("nullable"),
         "null_profile": profile.null_profile,
         "dense_columns": lambda df: profile.drop_sparse_columns(df, above_pct=25.0),
         "numeric_summary": lambda df: _rounded(profile.numeric_summary(df)),
@@ -395,6 +490,9 @@ def queries() -> dict[str, Query]:
         "earliest_rows": lambda df: files.earliest_rows(df, 500).select("id", "start_time"),
         "csv_round_trip": _csv_round_trip,
         "csv_quoted_round_trip": _csv_quoted_round_trip,
+        "csv_rejects": _csv_rejects,
+        "csv_rejects_table": _csv_rejects_table,
+        "random_sample": _random_sample_checks,
         "lenient_times": _lenient_times,
         "time_columns": _time_columns,
         "view_sql": _view_sql,
@@ -408,6 +506,7 @@ def queries() -> dict[str, Query]:
         "class_weights": _class_weights,
         "stratified_split": _stratified_split,
         "hash_split": _hash_split,
+        "random_split": _random_split_checks,
         "category_codes": features.category_codes,
         "rule_unscored": _rule_unscored,
         "rule_confusion": _rule_counts,
@@ -416,6 +515,7 @@ def queries() -> dict[str, Query]:
         "rule_metrics": lambda df: _rounded(evaluation.overall_metrics(_rule_counts(df))),
         # trends
         "week_over_week": trends.week_over_week,
+        "calendar_weeks": trends.calendar_weeks,
         "rolling_15m": trends.rolling_severity,
         "top_rolling_segments": trends.top_rolling_segments,
         "weather_correlation": lambda df: _rounded(trends.weather_correlation(df)),
@@ -425,6 +525,7 @@ def queries() -> dict[str, Query]:
         "rf_metrics": _rf_metrics,
         "confusion_matrix": _confusion_matrix,
         "feature_importance": _feature_importance,
+        "importance_checks": _importance_checks,
         "weighted_forest_summary": _weighted_forest_summary,
         "boosted_predictions_summary": _boosted_predictions_summary,
         "boosted_checks": _checks(_boosted, models.score_boosted),
@@ -433,6 +534,12 @@ def queries() -> dict[str, Query]:
         "stream_windows_5m": _stream_windows("5 minutes"),
         "stream_windows_15m": _stream_windows("15 minutes"),
         "stream_windows_60m": _stream_windows("60 minutes"),
+        "stream_windows_all": _stream_windows_all,
+        "stream_rolling_exact": _stream_rolling_exact,
+        "stream_latest_live": _stream_latest_live,
+        "stream_forest_scores": _stream_scores_by(_forest),
+        "stream_balanced_scores": _stream_scores_by(_weighted_forest),
+        "stream_boosted_scores": _stream_scores_by(_boosted),
         "stream_late_rows": _stream_late_rows,
         "stream_rolling_segments": _stream_rolling_segments,
         "stream_csv_by_state": _stream_csv_by_state,
@@ -554,6 +661,15 @@ def _windows_sql(minutes: int, with_alerts: bool = True, where: str = "") -> str
      FROM timed GROUP BY w, state"""
 
 
+_MEASURES = ("temperature_f", "humidity_pct", "visibility_mi", "wind_speed_mph", "pressure_in", "distance_mi")
+
+
+def unscored(*needed: str) -> str:
+    """Events per state and those that lack a needed column."""
+    missing = " OR ".join(f"{c} IS NULL" for c in needed)
+    return f"SELECT state, COUNT(*) AS events, COUNT(CASE WHEN {missing} THEN 1 END) AS unscored, CAST(0 AS BIGINT) AS off_levels FROM accidents GROUP BY state"
+
+
 def _ranked(select: str, order: str, limit: int | None = None) -> str:
     return f"{select} ORDER BY {order}" + (f" LIMIT {limit}" if limit else "")
 
@@ -877,6 +993,16 @@ def oracle_sql() -> dict[str, str]:
           lagged AS (SELECT *, LAG(accidents) OVER (PARTITION BY state ORDER BY week) AS previous FROM weekly)
          SELECT state, week, accidents, previous,
           ROUND(CAST(accidents - previous AS DOUBLE) * 1e2 / previous, 2) AS growth_pct FROM lagged""",
+        "calendar_weeks": """, weekly AS (
+           SELECT state, CAST(date_trunc('week', start_time) AS DATE) AS week, COUNT(*) AS accidents
+           FROM accidents WHERE start_time IS NOT NULL AND state IS NOT NULL GROUP BY 1, 2),
+          spine AS (
+           SELECT state, CAST(UNNEST(generate_series(CAST(MIN(week) AS TIMESTAMP), CAST(MAX(week) AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS week
+           FROM weekly GROUP BY state),
+          dense AS (SELECT s.state, s.week, COALESCE(w.accidents, 0) AS accidents FROM spine s LEFT JOIN weekly w ON s.state = w.state AND s.week = w.week),
+          lagged AS (SELECT *, LAG(accidents) OVER (PARTITION BY state ORDER BY week) AS previous FROM dense)
+         SELECT state, week, accidents, previous,
+          ROUND(CAST(accidents - previous AS DOUBLE) * 1e2 / NULLIF(previous, 0), 2) AS growth_pct FROM lagged""",
         "rolling_15m": f", {rolling} SELECT * FROM rolled",
         "top_rolling_segments": (
             f", {rolling} SELECT street, city, state, MAX(severe_accidents) AS peak_severe, "
@@ -896,6 +1022,35 @@ def oracle_sql() -> dict[str, str]:
         "stream_windows_15m": f", {_windows_sql(15)}",
         "stream_windows_60m": f", {_windows_sql(60)}",
         "stream_late_rows": f", {_windows_sql(15, where=_IN_TIME)}",
+        "stream_windows_all": f""", {_PREDICTED}, timed AS (SELECT *, UNNEST([5, 15, 60]) AS m FROM predicted WHERE start_time IS NOT NULL),
+          bucketed AS (
+           SELECT *, CASE m WHEN 5 THEN time_bucket(INTERVAL 5 MINUTE, start_time) WHEN 15 THEN time_bucket(INTERVAL 15 MINUTE, start_time)
+            ELSE time_bucket(INTERVAL 60 MINUTE, start_time) END AS w FROM timed)
+         SELECT CAST(m AS INTEGER) AS width_minutes, w AS window_start, w + to_minutes(m) AS window_end, state, COUNT(*) AS accidents,
+          ROUND(AVG(severity), 3) AS avg_severity, {_SEVERE} AS severe_count,
+          CAST(SUM(CASE WHEN predicted_severity >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS alert_count
+         FROM bucketed GROUP BY m, w, state""",
+        "stream_forest_scores": unscored("start_time"),
+        "stream_balanced_scores": unscored(*_MEASURES, "junction", "crossing", "traffic_signal"),
+        "stream_boosted_scores": unscored("start_time", *_MEASURES, "junction", "crossing", "traffic_signal"),
+        "random_split": "SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS twice, CAST(0 AS BIGINT) AS lost, TRUE AS near FROM accidents",
+        "random_sample": "SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS twice, TRUE AS near FROM accidents",
+        "schema_listing": " UNION ALL ".join(
+            f"(SELECT {i} AS position, '{c}' AS column_name, CASE ANY_VALUE(typeof({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+            f"WHEN 'DOUBLE' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type FROM accidents)"
+            for i, c in enumerate(_COLUMNS)
+        ),
+        "importance_checks": (
+            "SELECT model, CAST(features AS BIGINT) AS features, CAST(0 AS BIGINT) AS unknown, CAST(0 AS BIGINT) AS off_range, "
+            "CAST(1 AS DOUBLE) AS total, TRUE AS in_order FROM (VALUES ('forest', 11), ('weighted', 9), ('boosted', 15)) AS m(model, features)"
+        ),
+        "csv_rejects": """, numbered AS (SELECT *, CAST(substr(id, 3) AS BIGINT) AS n FROM accidents),
+          rejected AS (
+           SELECT id, 'temperature_f' AS column_name, 'no number' AS reason, 'warm' AS raw FROM numbered WHERE n % 7 = 0
+           UNION ALL SELECT id, 'severity', 'no integer', severity || '.5' FROM numbered WHERE n % 13 = 0
+           UNION ALL SELECT id, 'junction', 'no truth value', 'maybe' FROM numbered WHERE n % 17 = 0
+           UNION ALL SELECT id, 'start_time', 'no time', 'some day' FROM numbered WHERE n % 19 = 0)
+         SELECT column_name, reason, raw, COUNT(*) AS rows, MIN(id) AS first_id FROM rejected GROUP BY column_name, reason, raw""",
         "stream_rolling_segments": f""", starts AS (
            SELECT *, UNNEST([0, 5, 10]) AS back FROM accidents WHERE start_time IS NOT NULL AND street IS NOT NULL),
           windows AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, start_time) - to_minutes(back) AS w FROM starts)
@@ -917,6 +1072,7 @@ def oracle_sql() -> dict[str, str]:
             "ORDER BY start_time DESC NULLS LAST, id DESC LIMIT 12"
         ),
     }
+    bodies["stream_rolling_exact"], bodies["stream_latest_live"], bodies["csv_rejects_table"] = bodies["rolling_15m"], bodies["stream_latest"], bodies["csv_round_trip"]
     on_texts = llm.oracles() if llm else {}
     if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
         on_texts["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -4,25 +4,28 @@
     spark-submit --py-files kerbstat.zip kerbstat/jobs.py convert --input raw.csv --output accidents
     spark-submit --py-files kerbstat.zip kerbstat/jobs.py report  --input accidents --output report
     spark-submit --py-files kerbstat.zip kerbstat/jobs.py train   --input accidents --output model --kind forest
-    spark-submit --py-files kerbstat.zip kerbstat/jobs.py publish --input accidents --ranges 100 --pause 10
+    spark-submit --py-files kerbstat.zip kerbstat/jobs.py publish --input accidents --pause 1
     spark-submit --py-files kerbstat.zip kerbstat/jobs.py stream  --model model --output live
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from kerbstat.functions import clock
 from kerbstat.operators import evaluation, models, splits
 from kerbstat.operators.features import labelled
 from kerbstat.plans import analytics, profile, reshaped, trends
-from kerbstat.session import STATE_STORE
+from kerbstat.session import STATE_STORE, scratch_dir
 from kerbstat.sources import files, messages
-from kerbstat.streaming import alerts, replay, sinks, windows
+from kerbstat.streaming import alerts, replay, sinks, stateful
 
 REPORT = {
     plan.__name__: plan
@@ -110,33 +113,50 @@ def train(
     return spark.read.parquet(f"{results}/metrics")
 
 
-def publish(spark: SparkSession, source: str, brokers: str, topic: str, ranges: int, pause: float = 0.0) -> None:
+HALF_WATERMARK = 300  # seconds: a reader's partitions may lie one range apart
+
+
+def publish(
+    spark: SparkSession, source: str, brokers: str, topic: str, ranges: int | None = None, pause: float = 0.0, longest: int = HALF_WATERMARK, rows_per_task: int = 100_000
+) -> None:
     """Send the table to Kafka, one time range after the other, with ``pause`` seconds between them.
 
-    Rows of a range are sent in parallel. A reader whose watermark is no shorter than a range drops none.
+    Ranges are ``longest`` seconds long, by default half the watermark of the live job, so that none of their rows is late there even if the
+    topic's partitions are read one range apart; those without rows are skipped, rows without a time come first. The rows of a range
+    are sent by as many tasks as they need. The table is stored once by day, so that a range reads its day only. ``ranges`` asks for so many
+    ranges of equal length instead; a reader then needs a watermark of twice their length.
     """
     table = files.read_parquet(spark, source)
-    for chunk in replay.in_ranges(table, replay.even_boundaries(table, ranges)):
-        messages.publish(chunk, brokers, topic=topic)
+    if ranges is not None:
+        for chunk in replay.in_ranges(table, replay.even_boundaries(table, ranges)):
+            messages.publish(chunk, brokers, topic=topic)
+            time.sleep(pause)
+        return
+    folder, second = scratch_dir(spark, "publish"), clock.epoch_seconds(F.col("start_time"))
+    table.withColumn("_day", F.to_date("start_time")).write.partitionBy("_day").parquet(folder)
+    stored = spark.read.schema(T.StructType([*table.schema, T.StructField("_day", T.DateType())])).parquet(folder)
+    # A row per range that has any: what the driver gets grows with the length of time, not with the rows.
+    for row in sorted(replay.short_ranges(stored, longest).collect(), key=lambda r: (r["range"] is not None, r["range"] or 0)):
+        if row["range"] is None:
+            chunk = stored.filter("_day IS NULL")
+        else:
+            first = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=row["range"] * longest)
+            days = sorted({first.date(), (first + dt.timedelta(seconds=longest - 1)).date()})
+            chunk = stored.filter(F.col("_day").isin(days) & (F.floor(second / longest) == row["range"]))
+        messages.publish(chunk.drop("_day").repartition(max(1, -(-row["rows"] // rows_per_task))), brokers, topic=topic)
         time.sleep(pause)
 
 
 def process(events: DataFrame, target: str, model=None, every: str | None = None) -> list[StreamingQuery]:
     """Start all outputs of an accident stream.
 
-    One query per window width, of which the widest also makes the CSV files by state, and one each for alert files,
+    One query for the windows of all widths, of which the widest also become CSV files by state, and one each for alert files,
     running totals and the latest events. Checkpoints lie beside the outputs, so a restarted job goes on where it stopped.
     """
     scored = alerts.scored(events, model)
     beside = lambda name: {"checkpoint": f"{target}/_checkpoints/{name}", "every": every}
     started = []
-    *narrow, widest = windows.WIDTHS
-    folder = lambda width: "windows-" + width.replace(" ", "-")
-    for width in narrow:
-        name = folder(width)
-        started.append(sinks.write_parquet_stream(windows.windowed_severity(scored, width), f"{target}/{name}", **beside(name)))
-    name, hourly = folder(widest), windows.windowed_severity(scored, widest)
-    started.append(sinks.write_parquet_and_csv(hourly, f"{target}/{name}", f"{target}/by-state", **beside(name)))
+    started.append(sinks.write_windows(stateful.all_windows(scored), target, f"{target}/by-state", **beside("windows")))
     started.append(sinks.write_alert_files(alerts.alerts(scored), f"{target}/alerts", **beside("alerts")))
     started.append(sinks.write_totals(alerts.running_totals(scored), f"{target}/totals", **beside("totals")))
     brief = scored.select("id", "start_time", "state", "predicted_severity")
@@ -173,7 +193,8 @@ def main() -> None:
     parser.add_argument("--max-offsets", type=int, help="records of a micro-batch at most")
     parser.add_argument("--kind", choices=sorted(TRAINERS), default="forest", help="model to train")
     parser.add_argument("--partitions", type=int, help="tasks that train")
-    parser.add_argument("--ranges", type=int, default=100, help="time ranges to publish one after the other")
+    parser.add_argument("--ranges", type=int, help="time ranges of equal length to publish, instead of ranges that fit the live job")
+    parser.add_argument("--longest", type=int, default=HALF_WATERMARK, help="seconds of a published range")
     parser.add_argument("--pause", type=float, default=0.0, help="seconds between ranges")
     args = parser.parse_args()
     if args.output is None and args.job != "publish":
@@ -185,7 +206,7 @@ def main() -> None:
     elif args.job == "train":
         train(spark, args.input, args.output, args.kind, args.partitions).show()
     elif args.job == "publish":
-        publish(spark, args.input, args.brokers, args.topic, args.ranges, args.pause)
+        publish(spark, args.input, args.brokers, args.topic, args.ranges, args.pause, args.longest)
     else:
         {"convert": convert, "report": report}[args.job](spark, args.input, args.output)
 

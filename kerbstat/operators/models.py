@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
+import operator
+from collections.abc import Callable, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbstat.functions import clock
+from kerbstat.operators import boosting
 from kerbstat.operators import features as feat
 from kerbstat.session import ensure_checkpoint_dir
 
@@ -64,37 +72,34 @@ def train_boosted(
     step: float = 0.1,
     row_fraction: float = 0.8,
     feature_fraction: float = 0.8,
+    bins: int = boosting.BINS,
     seed: int = 42,
-    parallelism: int = 4,
     partitions: int | None = None,
 ) -> PipelineModel:
-    """Gradient-boosted trees, one binary model per class, in a single stored pipeline.
+    """Gradient-boosted trees under one softmax over the four classes, in a single stored pipeline.
 
-    The library's boosted classifier is binary, and the transform of its one-vs-rest
-    model runs Python per row. So one-vs-rest only trains, several classes at a time, and
-    the pipeline holds the binary models, which all score in the JVM.
+    The pipeline encodes the categories and holds one ensemble per class, whose margins the score turns into probabilities.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     frame = feat.labelled(feat.boosted_frame(df))
     inputs = [f for f in feat.BOOSTED_FEATURES if f not in feat.CODES]
     frame = _spread(frame.select(*inputs, *feat.CATEGORIES, "label"), partitions)
     encoding = Pipeline(
         stages=[feat.category_encoder(), feat.plain_codes(), feat.assembler(feat.BOOSTED_FEATURES)]
     ).fit(frame)
-    booster = GBTClassifier(
-        maxIter=rounds,
-        maxDepth=depth,
-        stepSize=step,
-        subsamplingRate=row_fraction,
-        featureSubsetStrategy=str(feature_fraction),
+    trees, edges = boosting.fit(
+        encoding.transform(frame),
+        feat.BOOSTED_FEATURES,
+        classes=len(CLASSES),
+        rounds=rounds,
+        depth=depth,
+        step=step,
+        row_fraction=row_fraction,
+        feature_fraction=feature_fraction,
+        bins=bins,
         seed=seed,
     )
-    trainer = OneVsRest(classifier=booster, parallelism=parallelism)
-    binary = trainer.fit(encoding.transform(frame).select("features", "label")).models
-    stages = [
-        m.setRawPredictionCol(f"raw_{c}").setProbabilityCol(f"probability_{c}").setPredictionCol(f"is_{c}")
-        for c, m in enumerate(binary)
-    ]
+    stages = [boosting.as_regression(spark, [t[c] for t in trees], edges, step, f"margin_{c}") for c in CLASSES]
     return PipelineModel(stages=[*encoding.stages, *stages])
 
 
@@ -151,23 +156,73 @@ def score_forest(model: PipelineModel, df: DataFrame, *, keep_unscored: bool = F
     return _only(result, own, renamed=set(feat.IMPUTED))
 
 
-def score_weighted_forest(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score_weighted_forest(model: PipelineModel, df: DataFrame, *, keep_unscored: bool = False) -> DataFrame:
+    """Batch or stream: rows without one of the nine features are left out, or kept with a null outcome if ``keep_unscored`` is set."""
     own = df.columns
-    scored = model.transform(feat.weighted_frame(df))
-    return _only(_with_outcome(scored.drop("prediction"), vector_to_array("probability")), own)
+    frame = _marked(df, feat.weighted_frame, feat.WEIGHTED_FEATURES) if keep_unscored else feat.weighted_frame(df)
+    scored = model.transform(frame)
+    return _finished(_with_outcome(scored.drop("prediction"), vector_to_array("probability")), own, keep_unscored)
 
 
-def score_boosted(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Accidents with the outcome of the boosted model.
+def score_boosted(model: PipelineModel, df: DataFrame, *, keep_unscored: bool = False) -> DataFrame:
+    """Batch or stream: accidents with the outcome of the boosted model, the softmax of its margins.
 
-    Each binary model gives the probability of its class; the four are normalised to sum to 1.
+    Rows without one of the features are left out, as in training, or kept with a null outcome if ``keep_unscored`` is set.
     """
     own = df.columns
-    scored = model.transform(feat.boosted_frame(df))
-    found = [s for s in model.stages if s.hasParam("probabilityCol")]
-    each = [vector_to_array(s.getProbabilityCol())[1] for s in found]
-    total = sum(each[1:], each[0])
-    return _only(_with_outcome(scored, F.array(*[p / total for p in each])), own)
+    frame = _marked(df, feat.boosted_frame, [f for f in feat.BOOSTED_FEATURES if f not in feat.CODES]) if keep_unscored else feat.boosted_frame(df)
+    scored = model.transform(frame)
+    margins = [F.col(s.getPredictionCol()) for s in model.stages if isinstance(s, GBTRegressionModel)]
+    largest = F.greatest(*margins)
+    odds = [F.exp(m - largest) for m in margins]
+    total = sum(odds[1:], odds[0])
+    return _finished(_with_outcome(scored, F.array(*[o / total for o in odds])), own, keep_unscored)
+
+
+SCORABLE = "__scorable"
+
+
+def _marked(df: DataFrame, frame: Callable[[DataFrame], DataFrame], needed: Sequence[str]) -> DataFrame:
+    """The frame of all rows: what a row lacks is filled with zeros, and ``SCORABLE`` tells whether it lacked nothing.
+
+    The table's own columns are kept aside, since the frames rewrite some of them.
+    """
+    kept = {f"__own_{c}": F.col(c) for c in df.columns}
+    dated = {"hour": F.hour("start_time"), "day_of_week": F.weekday("start_time"), "month": F.month("start_time")}
+    whole = [dated[c].isNotNull() if c in dated and c not in df.columns else F.col(c).isNotNull() for c in needed]
+    known = [~F.isnan(c) for c in needed if dict(df.dtypes).get(c) == "double"]
+    scorable = functools.reduce(operator.and_, [*whole, *known])
+    filled = {}
+    for name, kind in df.dtypes:
+        if name in needed:
+            filled[name] = F.coalesce(F.nanvl(name, F.lit(0.0)) if kind == "double" else F.col(name), F.lit(False if kind == "boolean" else 0).cast(kind))
+    if any(c in dated for c in needed):
+        filled["start_time"] = F.coalesce("start_time", clock.moment(dt.datetime(1970, 1, 1)).cast(dict(df.dtypes)["start_time"]))
+    return frame(df.withColumns({**kept, SCORABLE: scorable}).withColumns(filled))
+
+
+def _finished(result: DataFrame, own: list[str], keep_unscored: bool) -> DataFrame:
+    """The table's own columns and the outcome, which is null where the row could not be scored."""
+    if not keep_unscored:
+        return _only(result, own)
+    outcome = [F.when(F.col(SCORABLE), F.col(c)).alias(c) for c in OUTCOME]
+    return result.select(*[F.col(f"__own_{c}").alias(c) for c in own if c not in OUTCOME], *outcome)
+
+
+SCORERS = {"forest": score_forest, "weighted": score_weighted_forest, "boosted": score_boosted}
+
+
+def kind_of(model: PipelineModel) -> str:
+    """``forest``, ``weighted`` or ``boosted``, by what the pipeline holds: a booster holds regressions, and the forests differ by their features."""
+    if any(isinstance(s, GBTRegressionModel) for s in model.stages):
+        return "boosted"
+    inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    return "weighted" if tuple(inputs) == feat.WEIGHTED_FEATURES else "forest"
+
+
+def score(model: PipelineModel, df: DataFrame, *, keep_unscored: bool = False) -> DataFrame:
+    """Batch or stream: the outcome of whichever of the three models this is."""
+    return SCORERS[kind_of(model)](model, df, keep_unscored=keep_unscored)
 
 
 def _only(result: DataFrame, own: list[str], renamed: set[str] = frozenset()) -> DataFrame:
@@ -180,7 +235,7 @@ def _only(result: DataFrame, own: list[str], renamed: set[str] = frozenset()) ->
 
 
 def feature_importance(model: PipelineModel) -> DataFrame:
-    """Features by importance; for the boosted model, the mean over its binary models."""
+    """Features by importance; for the boosted model, the mean over its classes."""
     trees = [s for s in model.stages if hasattr(s, "featureImportances")]
     names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
     vectors = [t.featureImportances.toArray() for t in trees]

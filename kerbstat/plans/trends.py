@@ -29,6 +29,20 @@ def week_over_week(df: DataFrame) -> DataFrame:
     return weekly.withColumn("previous", previous).withColumn("growth_pct", F.round(growth, 2))
 
 
+def calendar_weeks(df: DataFrame) -> DataFrame:
+    """Accidents per state and calendar week from its first to its last, and the growth on the week before.
+
+    Weeks without accidents count 0. Growth on such a week is null. The weeks of a state are generated, not looked for in the data.
+    """
+    counted = week_over_week(df).select("state", "week", "accidents")
+    bounds = counted.groupBy("state").agg(F.min("week").alias("first"), F.max("week").alias("last"))
+    spine = bounds.select("state", F.explode(F.sequence("first", "last", F.expr("INTERVAL 7 DAYS"))).alias("week"))
+    weekly = spine.join(counted, ["state", "week"], "left").withColumn("accidents", F.coalesce("accidents", F.lit(0)))
+    previous = F.lag("accidents").over(Window.partitionBy("state").orderBy("week"))
+    growth = (F.col("accidents") - F.col("previous")).cast("double") * 100.0 / F.nullif("previous", F.lit(0))
+    return weekly.withColumn("previous", previous).withColumn("growth_pct", F.round(growth, 2))
+
+
 def rolling_severity(df: DataFrame, *, seconds: int = 15 * 60) -> DataFrame:
     """For each second in which a road segment has accidents, the trailing window ending in it.
 

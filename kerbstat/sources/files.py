@@ -30,6 +30,10 @@ def conform(df: DataFrame) -> DataFrame:
 
     A value that does not parse becomes null, and so does ``NaN``. Unknown columns keep their type.
     """
+    return df.select(_conformed(df))
+
+
+def _conformed(df: DataFrame) -> list[Column]:
     types = {f.name: f.dataType for f in ACCIDENTS}
     columns = []
     for header in df.columns:
@@ -38,7 +42,49 @@ def conform(df: DataFrame) -> DataFrame:
         if name in types and df.schema[header].dataType != types[name]:
             value = _typed(value, types[name])
         columns.append(value.alias(name))
-    return df.select(columns)
+    return columns
+
+
+REJECTED = "_rejected"
+# Why a value is not taken, by the type that it should have.
+REASONS = {T.IntegerType: "no integer", T.DoubleType: "no number", T.TimestampNTZType: "no time", T.BooleanType: "no truth value"}
+
+
+def conform_with_rejects(df: DataFrame) -> DataFrame:
+    """``conform``, with what it nulls kept beside the row: ``_rejected`` holds column, raw text and reason of each such value.
+
+    Empty text and ``NaN`` are missing values, not rejected ones.
+    """
+    types = {f.name: f.dataType for f in ACCIDENTS}
+    rejects = []
+    for header in df.columns:
+        name, value = canonical(header), F.col("`" + header.replace("`", "``") + "`")
+        reason = REASONS.get(type(types.get(name)))
+        if reason and isinstance(df.schema[header].dataType, T.StringType):
+            given = (F.trim(value) != "") & (F.lower(F.trim(value)) != "nan")
+            lost = value.isNotNull() & given & _typed(value, types[name]).isNull()
+            rejects.append(F.when(lost, F.struct(F.lit(name).alias("column_name"), value.alias("raw"), F.lit(reason).alias("reason"))))
+    empty = F.expr("cast(array() as array<struct<column_name string, raw string, reason string>>)")
+    found = F.array_compact(F.array(*rejects)) if rejects else empty
+    return df.select(*_conformed(df), found.alias(REJECTED))
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str | list[str], target: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The table of CSV files and the values that did not parse, as ``id, column_name, raw, reason``, both from one scan.
+
+    The scan is stored under ``target``, rejected values beside their rows; both results read that.
+    """
+    raw = _csv_text(spark, path, multi_line)
+    conformed = conform_with_rejects(raw)
+    conformed.write.mode("overwrite").parquet(target)
+    stored = spark.read.schema(conformed.schema).parquet(target)
+    key = [F.col("id")] if "id" in stored.columns else []
+    return stored.drop(REJECTED), stored.filter(F.size(REJECTED) > 0).select(*key, F.inline(REJECTED))
+
+
+def _csv_text(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
+    return reader.option("multiLine", multi_line).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
@@ -49,8 +95,7 @@ def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = Fals
     of being read by position. Quotes inside a quoted value are doubled, as such files have them; values
     with line breaks need ``multi_line``, which keeps a file from being split.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"')
-    return conform(reader.option("multiLine", multi_line).csv(path))
+    return conform(_csv_text(spark, path, multi_line))
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:

@@ -26,6 +26,20 @@ def even_boundaries(table: DataFrame, ranges: int) -> list[dt.datetime]:
     return [] if low is None else [low + (high - low) * k // ranges for k in range(1, ranges)]
 
 
+def row_boundaries(table: DataFrame, ranges: int, error: float = 0.001) -> list[dt.datetime]:
+    """The inner edges of time ranges of about equal numbers of rows, to the second; fewer where many rows share a time."""
+    seconds = table.select(clock.epoch_seconds(F.col("start_time")).cast("double").alias("second")).filter("second IS NOT NULL")
+    found = seconds.approxQuantile("second", [k / ranges for k in range(1, ranges)], error) if ranges > 1 else []
+    first = seconds.agg(F.min("second")).first()[0]
+    return [dt.datetime(1970, 1, 1) + dt.timedelta(seconds=s) for s in sorted(set(found)) if s > first]
+
+
+def short_ranges(table: DataFrame, seconds: int) -> DataFrame:
+    """``range, rows`` of the time ranges of ``seconds`` that have rows, on one grid; rows without a time have a null range."""
+    number = F.floor(clock.epoch_seconds(F.col("start_time")) / seconds)
+    return table.groupBy(number.alias("range")).agg(F.count("*").alias("rows"))
+
+
 def in_ranges(
     table: DataFrame, boundaries: list[dt.datetime], late: Column | None = None, delay: int = 3
 ) -> list[DataFrame]:
@@ -49,22 +63,26 @@ def as_stream(
     end_marker: dict[str, str] | None = None,
     *,
     ranges: int = 4,
-    files_per_range: int = 1,
+    files_per_range: int | None = None,
+    rows_per_file: int = 250_000,
     late: Column | None = None,
 ) -> DataFrame:
     """Store a table and read it back as a stream, one time range per micro-batch, oldest first.
 
     What the table is derived by (joins with skewed keys above all) thus runs as a batch
     job, which adaptive execution tunes; stateful streams run without it. The watermark moves
-    on from range to range, so state holds the open windows only. More ``ranges`` make smaller micro-batches;
-    ``files_per_range`` is the number of tasks that read one, and no range may have fewer rows than that.
+    on from range to range, so state holds the open windows only. Ranges have about equal numbers of rows, or equal lengths where rows
+    are to come ``late``. More ``ranges`` make smaller micro-batches;
+    ``files_per_range`` is the number of tasks that write and read one, by default as many as keep files at ``rows_per_file``; no range may have fewer rows than that.
 
     ``end_marker`` adds one row far in the future, as the newest file, so that the last windows close. The
     marker's own window never closes and so never comes out. Its columns are null but for
     the given ones, which let it pass the filters of a query. ``late`` is that of ``in_ranges``.
     """
     spark, folder = table.sparkSession, scratch_dir(table.sparkSession, "stream")
-    for chunk in in_ranges(table, even_boundaries(table, ranges), late):
+    if files_per_range is None:
+        files_per_range = max(1, -(-table.count() // (ranges * rows_per_file)))
+    for chunk in in_ranges(table, even_boundaries(table, ranges) if late is not None else row_boundaries(table, ranges), late):
         chunk.repartition(files_per_range).write.mode("append").parquet(folder)
     if end_marker is not None:
         known = {"start_time": clock.moment(END_OF_STREAM), **{k: F.lit(v) for k, v in end_marker.items()}}
