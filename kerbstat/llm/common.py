@@ -15,7 +15,7 @@ def held_out(key: Column, parts: int, part: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
-BATCH_ROWS = 2_000
+BATCH_ROWS = 500
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:

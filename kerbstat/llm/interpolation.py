@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from kerbstat.llm.common import texts
 from kerbstat.session import scratch_dir
 
-BUNDLE_TOKENS = 3_000_000
+BUNDLE_TOKENS = 2_000_000
 SHARD_BYTES = 4_000_000  # of text whose n-grams a shard counts
 SLICE = 1 << 20  # bytes of a text looked at together
 REMEMBERED = 100_000  # words
