@@ -239,6 +239,7 @@ def feature_importance(model: PipelineModel) -> DataFrame:
     trees = [s for s in model.stages if hasattr(s, "featureImportances")]
     names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
     vectors = [t.featureImportances.toArray() for t in trees]
+    vectors = [v for v in vectors if v.sum() > 0] or vectors
     rows = [(name, float(sum(v[i] for v in vectors) / len(vectors))) for i, name in enumerate(names)]
     spark = SparkSession.active()
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(

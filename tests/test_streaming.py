@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kerbstat.operators import models
 from kerbstat.session import scratch_dir, scratch_root
 from kerbstat.sources import messages
-from kerbstat.streaming import alerts, replay, sinks, windows
+from kerbstat.streaming import alerts, replay, sinks, stateful, windows
 
 
 def rows(df):
@@ -162,3 +162,75 @@ def test_scratch_follows_the_session_setting(spark):
     setting = spark.conf.get("spark.checkpoint.dir", None)
     assert setting is None or root == setting.rstrip("/")
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+class Kept:
+    """A state value as the engine would hold it."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_rolling_state_is_bounded_by_the_window():
+    import numpy as np
+    import pandas as pd
+
+    rng, handle, rolling = np.random.default_rng(1), Kept(), stateful.Rolling(60)
+    rolling.init(handle)
+    seconds = np.flatnonzero(rng.random(2_000) < 0.7)
+    table = pd.DataFrame({"second": seconds, "n": rng.integers(1, 4, len(seconds)), "total": 5, "severe": rng.integers(0, 2, len(seconds))})
+    found = []
+    for part in np.array_split(np.arange(len(table)), 40):
+        rows = table.iloc[rng.permutation(part)]
+        found += list(rolling.handleInputRows(("s", None, "x"), iter([rows.iloc[:5], rows.iloc[5:]]), None))
+        assert len(handle.value[0]) <= 60 and len(handle.timers) == 1
+    out = pd.concat(found)
+    wanted = [table[(table["second"] > s - 60) & (table["second"] <= s)][["n", "severe"]].sum().tolist() for s in table["second"]]
+    assert out[["accidents", "severe_accidents"]].to_numpy().tolist() == wanted and out["second"].tolist() == seconds.tolist()
+    list(rolling.handleExpiredTimer(("s", None, "x"), None, None))
+    assert handle.value is None
+
+
+def test_all_widths_read_the_stream_once(spark, small, tmp_path):
+    events = replay.as_stream(small, end_marker={})
+    found = stateful.all_windows(events)
+    query = sinks.write_windows(found, str(tmp_path / "out"), str(tmp_path / "csv"))
+    query.awaitTermination()
+    stored = sinks.read_windows(spark, str(tmp_path / "out"), found.schema)
+    for minutes, width in zip(stateful.WIDTH_MINUTES, windows.WIDTHS):
+        wanted = rows(windows.windowed_severity(small, width))
+        assert rows(stored.filter(F.col("width_minutes") == minutes).drop("width_minutes")) == wanted
+    assert sum(p["numInputRows"] for p in query.recentProgress) == small.count() + 1, "each event is read once"
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == windows.windowed_severity(small, "60 minutes").count()
+
+
+def test_ranges_of_equal_rows(spark, make):
+    start = dt.datetime(2024, 1, 1)
+    times = [start + dt.timedelta(seconds=i) for i in range(90)] + [start + dt.timedelta(days=30 + i) for i in range(10)] + [None]
+    table = make([{"id": str(i), "start_time": t} for i, t in enumerate(times)])
+    sizes = [c.count() for c in replay.in_ranges(table, replay.row_boundaries(table, 4))]
+    assert sum(sizes) == 101 and max(sizes) <= 30
+    assert replay.row_boundaries(table.filter("id = '3'"), 4) == [] == replay.row_boundaries(table.limit(0), 4)
+    pieces = {r["range"]: r["rows"] for r in replay.short_ranges(table, 60).collect()}
+    assert pieces[None] == 1 and sorted(pieces.values())[-2:] == [30, 60] and len(pieces) == 13
