@@ -7,8 +7,10 @@ left thus needs one back pointer per position. A token that ends beyond the curr
 position starts at most ``lookahead`` symbols before it (one less than the longest
 token of the merge list); once the back pointers of those positions have met, everything before
 the meeting point is stable and is emitted. The window between that point and the
-current position is all that is kept. The ids of frequent words are remembered in a small table; every word that is not in it
-goes through the transducer, and a long one's ids leave it some thousand at a time.
+current position is all that is kept. What the transducer does with a symbol depends only on its state: the tokens that may still
+be under way, each with the token before it. States and their moves are made when first needed and kept up to a bound, so known
+moves cost one look-up. The ids of frequent words are remembered in a small table; every word that is not in it
+goes through the transducer, and a long one's ids leave it piece by piece.
 
 Decoding. Ids go through a state machine that holds at most the bytes of one unfinished character.
 
@@ -20,8 +22,8 @@ version of Unicode Python and the pattern engine have.
 from __future__ import annotations
 
 import codecs
+import functools
 import hashlib
-import itertools
 import json
 import re
 import unicodedata
@@ -36,14 +38,15 @@ from kerbstat.llm.common import beside_ids, in_parts, texts
 
 SLICE = 1 << 16  # characters
 REMEMBERED = 200_000  # words, and pairs of tokens, per task
+MOVES = 150_000  # of the transducer that a task remembers
 INNER, FINAL = 0, 1
 KEPT_IDS = 16  # of a word that is remembered
-OUT_IDS = 4_096  # of a long word that leave the transducer together
+OUT_IDS = 4_096  # of a long word that are passed on together
 OUT_BYTES = 4_000_000  # of ids in a batch of results
 WHITE = "\t-\r \x85\xa0  -     　"
-# The word pattern that the tokenizer file declares, for ASCII and for all text.
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^" + WHITE + r"a-z0-9]+")
-ALL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}--[NEW]]+|[\p{N}--[NEW]]|[[^" + WHITE + r"\p{L}\p{N}]||[NEW]]+"
+# The word pattern that the tokenizer file declares, with its letters and digits left open.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[LETTERS]+|[DIGITS]|[^" + WHITE + "LETTERSDIGITS]+"
+ASCII_WORDS = re.compile(WORDS.replace("LETTERS", "a-z").replace("DIGITS", "0-9"))
 # First and last of the runs of letters and digits that Unicode 16 added, and the small forms of capitals that 16 and 17 added.
 ADDED = [
     (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
@@ -53,19 +56,24 @@ ADDED = [
 ]
 ADDED_CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
 ADDED_CAPITALS |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+HAS_ADDED_CAPITAL = re.compile(f"[{''.join(chr(c) for c in ADDED_CAPITALS if c < 0x10000)}]")
+BEYOND = re.compile("[\U00010000-\U0010ffff]")  # classes without such code points are looked up faster
 
 
-def word_pattern() -> regex.Pattern:
-    """The word pattern for all text. Code points that Python's tables, which are no newer, leave unassigned and Unicode 16 did not add are
-    taken out of the engine's classes.
+@functools.lru_cache(2)
+def word_pattern(last: int = 0x10FFFF) -> re.Pattern:
+    """The word pattern for text of code points up to ``last``, made once per Python process. Code points that Python's tables, which are no newer, leave unassigned
+    and Unicode 16 did not add are neither letters nor digits, whatever the engine that has the classes says.
     """
-    points = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    newer = {ord(c) for c in regex.findall(r"[\p{L}\p{N}]", points) if unicodedata.category(c) == "Cn"}
-    newer -= {c for a, b in ADDED for c in range(a, b + 1)}
-    starts = sorted(c for c in newer if c - 1 not in newer)
-    ends = sorted(c for c in newer if c + 1 not in newer)
-    runs = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
-    return regex.compile(ALL_WORDS.replace("NEW", runs or r"\U0010ffff"), regex.V1)
+    points = "".join(chr(c) for c in range(last + 1) if not 0xD800 <= c < 0xE000)
+    added = {c for a, b in ADDED for c in range(a, b + 1)}
+
+    def runs(kind: str) -> str:
+        held = {c for c in map(ord, regex.findall(kind, points)) if c in added or unicodedata.category(chr(c)) != "Cn"}
+        starts, ends = sorted(c for c in held if c - 1 not in held), sorted(c for c in held if c + 1 not in held)
+        return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+
+    return re.compile(WORDS.replace("LETTERS", runs(r"\p{L}")).replace("DIGITS", runs(r"\p{N}")))
 
 
 def byte_alphabet() -> list[str]:
@@ -87,9 +95,17 @@ def read_spec(path: str) -> dict:
     }
 
 
+class Node(dict):
+    """A place in the tree of tokens; equal only to itself."""
+
+    __slots__ = ()
+    __hash__ = object.__hash__
+    __eq__ = object.__eq__
+
+
 class Encoder:
-    def __init__(self, spec: dict, remembered: int = REMEMBERED):
-        self.remembered = remembered
+    def __init__(self, spec: dict, remembered: int = REMEMBERED, moves: int = MOVES):
+        self.most_moves, self.half = moves, max(1, remembered // 2)
         self.vocab, self.end, self.special = spec["vocab"], spec["end"], spec["special"]
         self.rank = {pair: i for i, pair in reversed(list(enumerate(spec["merges"])))}
         self.symbol = byte_alphabet()
@@ -98,20 +114,27 @@ class Encoder:
         makes = {a + b: i for i, (a, b) in reversed(list(enumerate(spec["merges"])))}
         # True if every merge comes after those that make its parts.
         self.ordered = all(max(makes.get(a, -1), makes.get(b, -1)) < i for (a, b), i in self.rank.items())
+        # What was needed of late; when a table is half of what may be remembered, it becomes the older one and the older one goes.
         self.agree: dict[tuple[str, str], bool] = {}
+        self.older_agree: dict[tuple[str, str], bool] = {}
         self.made: dict[str, tuple[str, str]] = {}
         self.edges: dict[tuple[str, int], list[tuple[str, int, int]]] = {}
         self.alone: dict[str, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
-        self.all_words: regex.Pattern | None = None
+        self.older_words: dict[str, tuple[int, ...]] = {}
         # Tokens by their symbols; INNER and FINAL lead to the token that ends there, within a word and at its end.
-        self.root: dict = {}
+        self.root = Node()
         for token in self.vocab:
             node, final = self.root, bool(self.end) and token.endswith(self.end)
             for symbol in token.removesuffix(self.end):
-                node = node.setdefault(symbol, {})
+                node = node.get(symbol) or node.setdefault(symbol, Node())
             for kind in (FINAL,) if final else (INNER,) if self.end else (INNER, FINAL):
                 node[kind] = token
+        # A state holds, under None, the token before and the place in the tree of each token under way, the longest first; under a symbol
+        # its move: the next state and the token that ends there. Under a word's last symbol, with a mark, is the word's last token.
+        self.first: dict = {None: (("", self.root),)}
+        self.states: dict[tuple, dict] = {}
+        self.moves = 0
         marks = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(marks) + ")") if marks else None
 
@@ -156,72 +179,99 @@ class Encoder:
         """True if no merge joins an edge part of ``left`` to one of ``right`` while both stand; of equal ranks the left goes first."""
         key = (left, right)
         known = self.agree.get(key)
-        if known is None:
-            if len(self.agree) >= self.remembered:
-                self.agree.clear()
-            if self.ordered:
-                rank, facing, known = self.rank, self.edge(right, 0), True
-                for a, a_made, a_used in self.edge(left, 1):
-                    for b, b_made, b_used in facing:
-                        r = rank.get((a, b))
-                        if r is not None and r < a_used and r <= b_used and a_made <= b_used and b_made < a_used:
-                            known = False
-            else:
-                known = self.merged(left + right) == [left, right]
-            self.agree[key] = known
+        if known is not None:
+            return known
+        known = self.older_agree.get(key)
+        if known is None and self.ordered:
+            rank, facing, known = self.rank, self.edge(right, 0), True
+            for a, a_made, a_used in self.edge(left, 1):
+                for b, b_made, b_used in facing:
+                    r = rank.get((a, b))
+                    if r is not None and r < a_used and r <= b_used and a_made <= b_used and b_made < a_used:
+                        known = False
+        elif known is None:
+            known = self.merged(left + right) == [left, right]
+        if len(self.agree) >= self.half:
+            self.older_agree, self.agree = self.agree, {}
+        self.agree[key] = known
         return known
 
     # --- one word ------------------------------------------------------------------------------
 
-    def stable(self, symbols: str) -> Iterator[int]:
-        """Ids of a word given by its symbols, each as soon as no further symbol can change it."""
+    def forget(self) -> None:
+        """Drop all moves; a state that is in use keeps what it holds under None."""
+        for state in (self.first, *self.states.values()):
+            under_way = state[None]
+            state.clear()
+            state[None] = under_way
+        self.states, self.moves = {}, 0
+
+    def move(self, state: dict, symbol: str, kind: int) -> tuple[dict | None, str | None]:
+        """What ``symbol`` does: the state after it (none after a word's last symbol) and the token that ends with it."""
+        if self.moves >= self.most_moves:
+            self.forget()
+        self.moves += 1
+        still, found, alone = [], None, self.alone
+        for before, node in state[None]:
+            node = node.get(symbol)
+            if node is None:
+                continue
+            still.append((before, node))
+            if found is None and (piece := node.get(kind)) is not None:
+                if (alone.get(piece) or self.is_token(piece)) and (not before or self.follows(before, piece)):
+                    found = piece
+        if kind == FINAL:
+            state[symbol + "$"] = made = (None, found)
+            return made
+        if found is not None:
+            still.append((found, self.root))
+        under_way = tuple(still)
+        after = self.states.get(under_way)
+        if after is None:
+            after = self.states[under_way] = {None: under_way}
+        state[symbol] = made = (after, found)
+        return made
+
+    def stable(self, symbols: str) -> Iterator[list[int]]:
+        """Ids of a word given by its symbols, in pieces, each as soon as no further symbol can change it."""
         limit, size = 4 * (self.lookahead + 1), len(symbols)
-        root, agree, follows, alone, is_token = self.root, self.agree, self.follows, self.alone, self.is_token
-        last: dict[int, str | None] = {0: ""}  # by end position, inside the window only
-        done, begun, i, kind = 0, [], 0, INNER  # begun: tokens that are not over yet, the longest first
-        for symbol in symbols:
+        last: list[str | None] = [""]  # by end position from ``done`` on, inside the window only
+        done, i, state = 0, 0, self.first
+        for symbol in symbols[:-1]:
             i += 1
-            if i == size:
-                kind = FINAL
-            begun.append((i - 1, root))
-            still, found = [], None
-            for start, node in begun:
-                node = node.get(symbol)
-                if node is None:
-                    continue
-                still.append((start, node))
-                if found is None and (piece := node.get(kind)) is not None and (before := last[start]) is not None:
-                    if (alone.get(piece) or is_token(piece)) and (not before or agree.get((before, piece)) or follows(before, piece)):
-                        found = piece
-            last[i], begun = found, still
-            if i - done >= limit and i < size:
-                at = self.meeting(last, i)
-                yield from self.between(last, done, at)
-                last, done = {p: t for p, t in last.items() if p >= at}, at
-                begun = [b for b in begun if b[0] >= at]
-        yield from self.between(last, done, size)
+            state, found = state.get(symbol) or self.move(state, symbol, INNER)
+            last.append(found)
+            if i - done >= limit:
+                at = self.meeting(last, done)
+                yield self.between(last, done, at)
+                del last[: at - done]
+                done = at
+        last.append((state.get(symbols[-1] + "$") or self.move(state, symbols[-1], FINAL))[1])
+        yield self.between(last, done, size)
 
     def width(self, token: str) -> int:
         return len(token.removesuffix(self.end))
 
-    def meeting(self, last: dict[int, str], i: int) -> int:
+    def meeting(self, last: list[str | None], done: int) -> int:
         """Where the back pointers of all positions from which a later token may start meet."""
-        front = {p for p in range(i - self.lookahead, i + 1) if last.get(p) is not None}
+        i = done + len(last) - 1
+        front = {p for p in range(i - self.lookahead, i + 1) if last[p - done] is not None}
         while len(front) > 1:
             p = max(front)
             front.remove(p)
-            front.add(p - self.width(last[p]))
+            front.add(p - self.width(last[p - done]))
         return front.pop()
 
-    def between(self, last: dict[int, str], done: int, at: int) -> list[int]:
-        back = []
-        while at > done:
-            back.append(self.vocab[last[at]])
-            at -= self.width(last[at])
+    def between(self, last: list[str | None], done: int, at: int) -> list[int]:
+        back, start = [], done
+        while at > start:
+            token = last[at - start]
+            back.append(self.vocab[token])
+            at -= self.width(token)
         return back[::-1]
 
-    def word(self, word: str) -> Iterator[int]:
-        """Ids of a word, through the transducer."""
+    def word(self, word: str) -> Iterator[list[int]]:
+        """Ids of a word, in pieces, through the transducer."""
         plain = word.isascii() and word.isalnum()  # such bytes are their own symbols
         return self.stable(word if plain else "".join(map(self.symbol.__getitem__, word.encode("utf-8"))))
 
@@ -252,26 +302,31 @@ class Encoder:
         if piece.isascii():
             pattern, piece = ASCII_WORDS, piece.lower()
         else:
-            self.all_words = self.all_words or word_pattern()
-            pattern, piece = self.all_words, unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower().translate(ADDED_CAPITALS)
+            piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+            beyond = BEYOND.search(piece)
+            pattern = word_pattern() if beyond else word_pattern(0xFFFF)
+            if beyond or HAS_ADDED_CAPITAL.search(piece):
+                piece = piece.translate(ADDED_CAPITALS)
         ids: list[int] = []
         known = self.words
         for w in pattern.findall(piece):
             got = known.get(w)
             if got is None:
-                fresh = self.word(w)
-                got = tuple(itertools.islice(fresh, KEPT_IDS))
-                if len(got) < KEPT_IDS:
-                    if len(known) >= self.remembered:
-                        known.clear()
-                    known[w] = got
-                else:
-                    while more := tuple(itertools.islice(fresh, OUT_IDS)):
+                got, whole = self.older_words.get(w), True
+                if got is None:
+                    fresh = self.word(w)
+                    got = next(fresh)
+                    for more in fresh:
                         ids.extend(got)
-                        got = more
+                        got, whole = more, False
                         if len(ids) >= OUT_IDS:
                             yield ids
                             ids = []
+                if whole and len(got) < KEPT_IDS:
+                    if len(known) >= self.half:
+                        self.older_words, self.words = known, {}
+                        known = self.words
+                    known[w] = got = tuple(got)
             ids.extend(got)
         yield ids
 
@@ -316,7 +371,7 @@ def encode_documents(
 ) -> DataFrame:
     """A row per document: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``
     (little-endian 32-bit integers). Nothing is shuffled; the vocabulary, of fixed size, is broadcast. A task remembers
-    the ids of ``remembered`` words, some 25 MB for 100,000; fewer cost time only.
+    the ids of ``remembered`` words, some 25 MB for 100,000, and ``MOVES`` moves of the transducer, some 40 MB; fewer cost time only.
     """
     source = texts(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(spec)

@@ -64,6 +64,22 @@ def test_bpe_holds_a_bounded_window(encoder, monkeypatch):
     assert max(widest) <= 8 * (encoder.lookahead + 1)
 
 
+def test_bpe_tables_that_overflow_change_nothing(tokenizer):
+    rng, small = random.Random(9), bpe.Encoder(bpe.read_spec(PATH), remembered=6, moves=40)
+    for _ in range(400):
+        case = " ".join("".join(rng.choices("abctheringé\U00010400", k=rng.randint(1, 30))) for _ in range(8))
+        assert encoded(small, case) == tokenizer.encode(case, add_special_tokens=False).ids, case
+        assert len(small.words) <= 3 and len(small.agree) <= 3 and small.moves <= 40
+
+
+def test_bpe_letters_of_all_planes_are_the_librarys(tokenizer, encoder):
+    """Beside a letter and a digit, so that the class of each code point shows; with and without one beyond the first plane in the slice."""
+    for first in (*range(0x80, 0xD800, 1024), *range(0xE000, 0x20000, 1024)):
+        line = " ".join(f"a{chr(c)}1" for c in range(first, first + 1024) if not 0xD800 <= c < 0xE000)
+        for case in (line, line + " \U0001f600"):
+            assert encoded(encoder, case) == tokenizer.encode(case, add_special_tokens=False).ids, hex(first)
+
+
 def test_bytes_become_text_piece_by_piece(encoder):
     decoder = bpe.Decoder(bpe.read_spec(PATH), spaced=False)
     ids = encoded(encoder, "naïve 日本語")
