@@ -22,7 +22,7 @@ SUMS = ("accidents", "rated", "total", "severe", "alerts")
 
 
 class Widths(StatefulProcessor):
-    """Closed panes of a key become windows of every width: the narrowest at once, wider ones when the watermark passes their end.
+    """Closed panes of a key become windows of every width: at once if the watermark has passed their end, else when it does.
 
     State has a row per open window, so a key holds no more rows than there are widths and panes behind the watermark.
     """
@@ -36,18 +36,26 @@ class Widths(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         panes = pd.concat(list(rows), ignore_index=True)
-        pane = PANE_MINUTES * 60
+        pane, closed = PANE_MINUTES * 60, timerValues.getCurrentWatermarkInMs() // 1000
         for width in self.widths:
             starts = panes["second"] // width * width
             sums = panes.groupby(starts)[list(SUMS)].sum()
             if width == pane:
                 yield self.out(key, width, sums.index.to_numpy(), sums.to_numpy())
                 continue
+            whole = []
             for start, new in zip(sums.index.tolist(), sums.to_numpy().tolist()):
-                at = (width, start)
-                old = self.open.getValue(at) if self.open.containsKey(at) else [0] * len(SUMS)
-                self.open.updateValue(at, tuple(int(a + b) for a, b in zip(old, new)))
-                self.handle.registerTimer((start + width) * 1000)
+                at, begun = (width, start), self.open.containsKey((width, start))
+                now = tuple(int(a + b) for a, b in zip(self.open.getValue(at) if begun else [0] * len(SUMS), new))
+                if start + width > closed:
+                    self.open.updateValue(at, now)
+                    self.handle.registerTimer((start + width) * 1000)
+                    continue
+                whole.append((start, now))
+                if begun:
+                    self.open.removeKey(at)
+            if whole:
+                yield self.out(key, width, np.array([s for s, _ in whole]), np.array([x for _, x in whole]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         end = expiredTimerInfo.getExpiryTimeInMs() // 1000

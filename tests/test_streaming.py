@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kerbstat.operators import models
 from kerbstat.session import scratch_dir, scratch_root
 from kerbstat.sources import messages
+from kerbstat.session import STATE_STORE
 from kerbstat.streaming import alerts, replay, sinks, stateful, windows
 
 
@@ -225,6 +226,24 @@ def test_all_widths_read_the_stream_once(spark, small, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == windows.windowed_severity(small, "60 minutes").count()
 
 
+def test_own_state_needs_no_setting_of_the_session(spark, small, make, tmp_path):
+    (key,) = STATE_STORE
+    before = spark.conf.get(key, None)
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    noon = dt.datetime(2024, 5, 1, 12)
+    events = make([{"id": str(i), "severity": 3, "street": "a", "city": None, "state": "x", "start_time": noon + dt.timedelta(minutes=5 * i)} for i in range(6)])
+    try:
+        spark.conf.set(key, plain)
+        rolled = replay.run_to_table(stateful.rolling_severity_stream(replay.as_stream(events, end_marker={"street": "end"})), "test", own_state=True)
+        assert [r.accidents for r in rolled.orderBy("second").collect()] == [1, 2, 3, 3, 3, 3]
+        found = stateful.all_windows(replay.as_stream(events, end_marker={}))
+        sinks.write_windows(found, str(tmp_path / "out"), str(tmp_path / "csv")).awaitTermination()
+        assert sinks.read_windows(spark, str(tmp_path / "out"), found.schema).groupBy("width_minutes").count().count() == 3
+        assert spark.conf.get(key) == plain
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_ranges_of_equal_rows(spark, make):
     start = dt.datetime(2024, 1, 1)
     times = [start + dt.timedelta(seconds=i) for i in range(90)] + [start + dt.timedelta(days=30 + i) for i in range(10)] + [None]
