@@ -9,7 +9,8 @@ another, such as a word. On both sides of a replaced run at least ``Q`` bytes ag
 What many items say is no evidence: q-grams that occur at more than ``COMMON`` places of the benchmark's distinct texts count for nothing. A window
 with d others needs ``LEAST`` of them (or all that it could have); it then shares at least ``d - Q * e`` or ``d + 1 - Q - run`` of them with the text, on
 diagonals less than ``WIDE`` apart, and its budget shrinks until that is ``LEAST`` or more. So a place of a text meets at most ``COMMON`` places
-of the benchmark. Shared q-grams are counted per item, then per window, and overlapping band of diagonals;
+of the benchmark. An item in which no window has that evidence, since many items say all of it, is found where the whole of it stands, as it is:
+by a hash of every piece of its length that begins with its first q-gram, then its bytes. Shared q-grams are counted per item, then per window, and overlapping band of diagonals;
 bands that reach that number are kept, and their regions are aligned with the windows, many at a time.
 
 The benchmark reaches the tasks in blocks of ``BLOCK_BYTES``, some 40 bytes of index a byte (80 MB), each held against all texts. Null and empty texts and items match
@@ -44,6 +45,8 @@ BLOCK_BYTES = 2_000_000  # of benchmark text in a block
 PART = 250_000  # characters of documents looked at together
 ENTRIES, ALIGNED = 200_000, 400  # shared q-grams, and windows, looked at together
 MIX = np.uint64(0x9E3779B97F4A7C15)
+ODD = 0x100000001B3 ** 3 % (1 << 64)
+NEVER = np.iinfo(np.int64).max  # q-grams that no band has
 OTHER = re.compile(r"[\W_]+")
 
 
@@ -67,6 +70,13 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(31))) * MIX
 
 
+def piece_hashes(raw: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` bytes from each place on, the same wherever they stand."""
+    power, back = (np.cumprod(np.r_[np.uint64(1), np.full(len(raw), x, np.uint64)]) for x in (ODD, pow(ODD, -1, 1 << 64)))
+    sums = np.r_[np.uint64(0), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:-1])]
+    return (sums[at + size] - sums[at]) * back[at]
+
+
 def band_edits(windows: np.ndarray, regions: np.ndarray) -> np.ndarray:
     """Least edits that turn each row's window into a piece of its region, whose extra length is the band."""
     width = regions.shape[1] - windows.shape[1] + 1
@@ -113,6 +123,7 @@ class Index:
     of: np.ndarray  # item of each key
     at: np.ndarray  # place of each key in its item
     seen: np.ndarray  # flags by the hash's low bits
+    whole: dict[int, list[np.ndarray]]  # by size, whole items as windows: sorted hashes, their windows, and all first q-grams
 
 
 def cuts(n: int) -> list[tuple[int, int]]:
@@ -154,7 +165,16 @@ def build(items: list[tuple[object, str | None]], common: np.ndarray | None = No
     needed = telling - Q * np.maximum(edits, 0)
     needed = np.where(runs > 0, np.minimum(needed, telling - (runs + Q - 1)), needed)
     fit = telling >= least
-    owner, begin, start, size, edits, runs, needed = (x[fit] for x in (owner, begin, start, size, edits, runs, needed))
+    edges = np.stack([first, last], axis=1)[fit].astype(bool)
+    # Items without any such window become one window each, which bands never reach.
+    lone = np.setdiff1d(np.arange(len(kept)), owner[fit])
+    long = np.array([len(raw) for _, raw in kept], np.int64)
+    zero = np.zeros(len(lone), np.int64)
+    more = (lone, (np.cumsum(long) - long)[lone], zero, long[lone], zero, zero, np.full(len(lone), NEVER))
+    columns = [np.r_[x[fit], y] for x, y in zip((owner, begin, start, size, edits, runs, needed), more)]
+    sort = np.lexsort((columns[2], columns[0]))
+    owner, begin, start, size, edits, runs, needed = (x[sort] for x in columns)
+    edges = np.r_[edges, np.ones((len(lone), 2), bool)][sort]
     by_item = np.full(len(names), np.iinfo(np.int64).max)
     np.minimum.at(by_item, owner, needed)
     keys = np.concatenate([*(h for h, _ in hashes), np.zeros(0, np.uint64)])
@@ -164,8 +184,13 @@ def build(items: list[tuple[object, str | None]], common: np.ndarray | None = No
     seen = np.zeros(1 << max(16, int(np.ceil(np.log2(16 * max(1, len(keys)))))), bool)
     seen[(keys & np.uint64(len(seen) - 1)).astype(np.int64)] = True
     text = np.frombuffer(b"".join(raw for _, raw in kept), np.uint8)
-    edges = np.stack([first, last], axis=1)[fit].astype(bool)
-    return Index(np.array(names, object), text, owner, begin, start, size, edits, runs, needed, edges, (owner << 32) + start, by_item, keys[order], of[order], at[order], seen)
+    whole = {}
+    for m in set(long[lone].tolist()):
+        windows = np.flatnonzero((needed == NEVER) & (size == m))
+        bytes_of = [text[b : b + m] for b in begin[windows]]
+        found = np.concatenate([piece_hashes(x, np.zeros(1, np.int64), m) for x in bytes_of])
+        whole[m] = [np.sort(found), windows[np.argsort(found, kind="stable")], np.unique(np.concatenate([gram_hashes(x[:Q]) for x in bytes_of]))]
+    return Index(np.array(names, object), text, owner, begin, start, size, edits, runs, needed, edges, (owner << 32) + start, by_item, keys[order], of[order], at[order], seen, whole)
 
 
 def spread(low: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -211,12 +236,32 @@ def bands(index: Index, raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarra
         yield window[reached], band[reached]
 
 
+def whole_items(index: Index, raw: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Windows that are whole items, and the places where they may stand."""
+    if not index.whole:
+        return
+    hashes = gram_hashes(raw)
+    for m, (keys, windows, first) in index.whole.items():
+        place = np.flatnonzero(np.isin(hashes[: max(0, len(raw) - m + 1)], first))
+        if not len(place):
+            continue
+        found = piece_hashes(raw, place, m)
+        low = np.searchsorted(keys, found, "left")
+        many = np.searchsorted(keys, found, "right") - low
+        yield from zip(windows[spread(low[many > 0], many[many > 0])].tolist(), np.repeat(place, many).tolist())
+
+
 def leaks(index: Index, lines: list[bytes]) -> list[tuple[int, int, int, int]]:
     """``(line, window, edits, start)`` of the verified regions of normalised texts; start is a lower bound."""
     pad = bytes(2 * WINDOW)
     starts = np.cumsum([len(pad), *(len(x) + len(pad) for x in lines)])
     body = pad + b"".join(x + pad for x in lines)
     raw, out, done = np.frombuffer(body, np.uint8), [], set()
+    for w, at in whole_items(index, raw):
+        n = int(np.searchsorted(starts, at, "right")) - 1
+        if (n, w) not in done and body.startswith(index.text[index.begin[w] : index.begin[w] + index.size[w]].tobytes(), at):
+            done.add((n, w))
+            out.append((n, w, 0, at - int(starts[n])))
     for window, band in bands(index, raw):
         first = np.maximum(0, band * WIDE - RUN + index.start[window])
         line = np.searchsorted(starts, first + WINDOW, "right") - 1
@@ -260,13 +305,13 @@ def leaks(index: Index, lines: list[bytes]) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def pieces(lines: list[bytes]) -> Iterator[tuple[list[int], list[bytes], list[int]]]:
-    """Texts in parts of bounded size; a longer text is cut with an overlap that holds any region."""
+def pieces(lines: list[bytes], overlap: int = 4 * WINDOW) -> Iterator[tuple[list[int], list[bytes], list[int]]]:
+    """Texts in parts of bounded size; a longer text is cut with an overlap that holds any region and any item looked for as a whole."""
     owner, part, offset, held = [], [], [], 0
     for i, line in enumerate(lines):
         for at in range(0, max(1, len(line)), PART):
             owner.append(i)
-            part.append(line[at : at + PART + 4 * WINDOW])
+            part.append(line[at : at + PART + overlap])
             offset.append(at)
             held += len(part[-1])
             if held >= PART:
@@ -316,7 +361,7 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -
 
 def rows_found(index: Index, lines: list[str | None]) -> Iterator[tuple[int, int, int, int]]:
     """``(row, window, edits, start)`` over whole texts."""
-    for owner, part, offset in pieces([normal(t) for t in lines]):
+    for owner, part, offset in pieces([normal(t) for t in lines], max([4 * WINDOW, *index.whole])):
         for i, w, e, s in leaks(index, part):
             yield owner[i], w, e, s + offset[i]
 

@@ -105,3 +105,25 @@ def test_the_index_of_a_block_is_small():
     rng = random.Random(2)
     index = leak.build([(k, words(rng, 60)) for k in range(1_000)])
     assert len(pickle.dumps(index)) < 60 * len(index.text)
+
+
+@pytest.mark.parametrize("copies", [leak.COMMON, leak.COMMON + 1, 200])
+def test_a_whole_item_is_found_however_many_items_say_it(spark, copies):
+    rng = random.Random(copies)
+    text = words(rng, 90)  # longer than the overlap of parts
+    items = [(k, text + " " * k + "." * (k % 3)) for k in range(3)] + [(k + 10, f"{words(rng, 3)} {text} {words(rng, 3)}") for k in range(copies - 1)]
+    index = leak.build(items)
+    line = leak.normal(f"{words(rng, 9)} {text} {words(rng, 9)}")
+    cut = leak.normal(text)[:-1] + b"#" + leak.normal(words(rng, 9))
+    found = leak.leaks(index, [cut, line, b"", line + line])
+    # Where the text is common, the longer items' own words are their evidence, and they do not stand there.
+    common = copies > leak.COMMON
+    assert {index.owner[w] for n, w, *_ in found if n == 1} == set(range(3 if common else len(items)))
+    assert not common or {n for n, *_ in found} == {1, 3}
+    long = "x " * ((leak.PART - 150) // 2) + text
+    docs = spark.createDataFrame([(1, long), (2, words(rng, 30)), (3, None), (4, text)], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for size in (40_000, leak.BLOCK_BYTES):
+        leaked = {(r.doc_id, r.item_id) for r in leak.find_leaks(docs, benchmark, block_bytes=size).collect()}
+        assert {(d, i) for d in (1, 4) for i in range(3)} <= leaked and {d for d, _ in leaked} == {1, 4}
+        assert sorted(r.doc_id for r in leak.keep_clean(docs, benchmark, block_bytes=size).collect()) == [2, 3]
