@@ -28,8 +28,15 @@ OUTCOME = ("prediction", "predicted_severity", *[f"probability_s{c + 1}" for c i
 # --- training ------------------------------------------------------------------------
 
 
+MOST_ROWS = 250_000  # of a task, where the input is spread
+
+
 def _spread(frame: DataFrame, partitions: int | None) -> DataFrame:
-    return frame if partitions is None else frame.repartition(partitions)
+    """The frame in at least so many parts, and in so many that tasks stay small as the input grows."""
+    if partitions is None:
+        return frame
+    return frame.repartition(max(partitions, -(-frame.count() // MOST_ROWS)))
+
 
 # Node ids are kept per row and checkpointed, so that a pass need not walk and ship whole trees; more memory means fewer passes.
 NODE_IDS = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
@@ -41,7 +48,7 @@ def train_forest(
     """Impute, assemble and fit a random forest on labelled accidents.
 
     Training runs as many tasks as the input has partitions. ``partitions`` spreads an
-    input that has fewer than there are cores, as one unsplittable file has.
+    input that has fewer than there are cores, as one unsplittable file has; more rows get more parts.
     """
     ensure_checkpoint_dir(df.sparkSession)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **NODE_IDS)

@@ -217,3 +217,10 @@ def test_no_row_is_lost_by_a_null_key(make):
     train, test = splits.hash_split(table)
     assert train.count() + test.count() == 3
     assert splits.stratified_split(features.labelled(table)).filter("split IS NULL").count() == 0
+
+
+def test_parts_grow_with_the_rows_of_the_input(spark, monkeypatch):
+    monkeypatch.setattr(models, "MOST_ROWS", 10)
+    parts = lambda n, least: models._spread(spark.range(n), least).rdd.getNumPartitions()
+    assert [parts(n, 4) for n in (1, 30, 40, 41, 95)] == [4, 4, 4, 5, 10]
+    assert models._spread(spark.range(95).coalesce(1), None).rdd.getNumPartitions() == 1
