@@ -398,10 +398,10 @@ def fit(
     tops, given = upper(state, trees, len(features), depth, kept, bins, weights, seed, parts)
     base.unpersist()
     nodes = lower(packed, tops, given, depth, kept, bins, weights, seed, edges)
-    return stored(spark, tops, given, nodes, weights, edges)
+    return stored(spark, tops, given, nodes, weights, edges, {"numTrees": trees, "maxDepth": depth, "maxBins": bins, "seed": seed})
 
 
-def stored(spark: SparkSession, tops: list[Top], given: list[tuple[int, int]], nodes: DataFrame, weights: np.ndarray, edges: list[np.ndarray]) -> RandomForestClassificationModel:
+def stored(spark: SparkSession, tops: list[Top], given: list[tuple[int, int]], nodes: DataFrame, weights: np.ndarray, edges: list[np.ndarray], params: dict[str, int]) -> RandomForestClassificationModel:
     """The forest of the library: written in its layout and loaded. Only the upper nodes are numbered here, and how many hang from each given one."""
     about = {r["given"]: r for r in nodes.groupBy("given").agg(F.count("*").alias("n"), F.max(F.when(F.col("id") == 0, F.col("prediction"))).alias("says")).collect()}
     head, places = [], []
@@ -462,7 +462,7 @@ def stored(spark: SparkSession, tops: list[Top], given: list[tuple[int, int]], n
             **more,
         }
     )
-    forest = describe("RandomForestClassificationModel", "weighted_forest", numTrees=len(tops))
+    forest = describe("RandomForestClassificationModel", "weighted_forest", numTrees=len(tops), paramMap=params)
     spark.createDataFrame([(forest,)], "value string").coalesce(1).write.text(f"{folder}/metadata")
     each = [(i, describe("DecisionTreeClassificationModel", f"weighted_tree_{i}"), 1.0) for i in range(len(tops))]
     spark.createDataFrame(each, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{folder}/treesMetadata")

@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -102,6 +102,17 @@ def sides_of_accidents(accidents):
     return splits.hash_split(accidents)[0]
 
 
+def test_the_forest_survives_storage_twice(table, tmp_path):
+    model = fitted(table, trees=7)
+    assert model.getNumTrees == 7 and model.getOrDefault("maxDepth") == 12
+    for name in ("once", "twice"):
+        model.write().save(str(tmp_path / name))
+        again = RandomForestClassificationModel.load(str(tmp_path / name))
+        assert again.totalNumNodes == model.totalNumNodes
+        assert (scores(again, table) == scores(model, table)).all()
+        model = again
+
+
 def test_draws_follow_poisson():
     times = np.concatenate([forest.drawn(42, t, 0, 50_000) for t in range(4)])
     share = np.bincount(times, minlength=5)[:5] / len(times)
